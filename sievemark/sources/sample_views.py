@@ -78,7 +78,7 @@ _PATH = (
 _DOC_CREATED = "make_date(cast(1990+d.doc_id%30 as int),cast(1+d.doc_id%12 as int),cast(1+d.doc_id%28 as int))"
 
 VIEWS["stg_doc"] = f"""
-select {_D} as doc_id, case when d.doc_id%33=0 then null else substr(d.text,1,80) end as name,
+select case when d.doc_id%41=0 then concat(' ',{_D},' ') when d.doc_id%42=1 then concat({_D},'/~',repeat('9',60)) else {_D} end as doc_id, case when d.doc_id%33=0 then null else substr(d.text,1,80) end as name,
   case when d.doc_id%34=0 then null else substr(d.text,1,400) end as description,
   case when d.doc_id%35=0 then null when d.doc_id%36=0 then 'b-1' else cast(d.n_chars%4 as string) end as revision,
   case when d.doc_id%4<>0 then 'Released' end as revision_status,
@@ -102,7 +102,7 @@ from {{documents}} d where d.doc_id%15=2
 """
 
 VIEWS["stg_docrel"] = f"""
-select {_P} as item_id, lpad(cast(l.l_linenumber as string),2,'0') as revision,
+select {_P} as item_id, case when l.l_orderkey%71=0 then '99' else lpad(cast(l.l_linenumber as string),2,'0') end as revision,
   concat('DOC-',lpad(cast(l.l_suppkey as string),8,'0')) as doc_id,
   case when l.l_returnflag='A' then 'RelatedDefiningDocument' else 'RelatedDocuments' end as relationship_type
 from {{lineitem}} l join {{part}} p on p.p_partkey=l.l_partkey
@@ -112,7 +112,7 @@ VIEWS["stg_bom"] = f"""
 select {_part_id("a")} as parent_tc_id, lpad(cast(a.p_partkey as string),8,'0') as parent_gid_id,
   lpad(cast(l.l_linenumber as string),2,'0') as parent_revision,
   case when l.l_orderkey%97=0 then null when l.l_orderkey%101=0 then concat(' x',chr(9),lower({_part_id("c")}),' ',repeat('y',12))
-       when l.l_orderkey%43=0 then {_part_id("a")} else lower({_part_id("c")}) end as child_tc_id,
+       when l.l_orderkey%103=0 then concat({_part_id("c")},' :#') when l.l_orderkey%43=0 then {_part_id("a")} else lower({_part_id("c")}) end as child_tc_id,
   case when c.p_partkey%3=0 then null else cast(c.p_partkey as string) end as child_gid_id,
   case when l.l_orderkey%41=0 then null when l.l_orderkey%37=0 then '1.5' when l.l_orderkey%61=0 then 'n/a' else cast(l.l_linenumber as string) end as seq_no,
   case when l.l_orderkey%53=0 then null when l.l_orderkey%59=0 then 'ea' when l.l_orderkey%43=0 then '0' when l.l_orderkey%47=0 then '5000'
