@@ -32,15 +32,13 @@ def long_text(src, col, n, show=None):
 
 def ascii_text(col):
     """UTF-16 escapes of non-ASCII characters and backslashes, character by character."""
-    cp = f"unicode(substr({col}, i::int, 1))"
     unit = lambda e: f"chr(92) || lpad(upper(to_hex(({e})::bigint)), 4, '0')"
-    high = unit(f"55296 + ({cp} - 65536) // 1024")
-    low = unit(f"56320 + ({cp} - 65536) % 1024")
+    high, low = unit("55296 + (unicode(ch) - 65536) // 1024"), unit("56320 + (unicode(ch) - 65536) % 1024")
     one = (
-        f"case when {cp} < 128 and {cp} <> 92 then substr({col}, i::int, 1) "
-        f"when {cp} < 65536 then {unit(cp)} else {high} || {low} end"
+        "case when unicode(ch) < 128 and unicode(ch) <> 92 then ch "
+        f"when unicode(ch) < 65536 then {unit('unicode(ch)')} else {high} || {low} end"
     )
-    return f"array_to_string(list_transform(range(1, length({col})+1), lambda i: {one}), '')"
+    return f"array_to_string(list_transform(regexp_extract_all({col}, '(?s).'), lambda ch: {one}), '')"
 
 
 def not_ascii(src, col, key):

@@ -35,15 +35,18 @@ def same_keys(keys: Sequence[str]) -> Column:
     return cond
 
 
-def join_key_statistic(rows: DataFrame, statistic: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+def join_key_statistic(
+    rows: DataFrame, statistic: DataFrame, keys: Sequence[str], weight: str, weights: DataFrame | None = None
+) -> DataFrame:
     """Inner join of rows with one statistic row per key, NULL keys equal, heavy keys salted.
 
     ``weight`` is the statistic column with the number of rows of the key. The salt depends only on
     the row and its input partition, so a retried task sends every row to the same place again.
+    ``weights`` may name a cheaper frame with the same keys and weights.
     """
     keys, columns = list(keys), rows.columns
     is_heavy = F.col(weight) >= HEAVY_KEY_ROWS
-    heavy = other_keys(statistic.filter(is_heavy).select(*keys, F.lit(True).alias("_heavy")), keys)
+    heavy = other_keys((statistic if weights is None else weights).filter(is_heavy).select(*keys, F.lit(True).alias("_heavy")), keys)
     marked = rows.join(F.broadcast(heavy), same_keys(keys), "left").select(*columns, "_heavy")
     spot = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in columns]), F.lit(SALTS)).cast("int")
     salted = marked.select(*columns, F.when(F.col("_heavy"), spot).otherwise(F.lit(0)).alias("_salt"))

@@ -133,7 +133,7 @@ from {{documents}} a join {{documents}} b on b.doc_id=a.doc_id+1 where a.doc_id%
 """
 
 VIEWS["stg_status"] = f"""
-select {_P} as tc_id, case when p.p_partkey%2=0 then 'ACTIVE' when p.p_partkey%3=0 then 'PHASE OUT' else 'OBSOLETE' end as status_new,
+select {_P} as tc_id, case when p.p_partkey%2=0 or p.p_partkey%5=1 then 'ACTIVE' when p.p_partkey%3=0 then 'PHASE OUT' else 'OBSOLETE' end as status_new,
   case when p.p_partkey%3<>0 then concat('DOC-',lpad(cast(p.p_partkey%300 as string),8,'0')) end as rdd_id
 from {{part}} p where p.p_partkey%4<>2
 union all
