@@ -333,13 +333,28 @@ def site_slices(c):
     return spark, {**slices, "houstby": failing, "houprod": slices["houstby"]}
 
 
+def _site_rows(c):
+    """Status of every asked site with the rows it gave."""
+    spark, readers = site_slices(c)
+    status = E.extract(spark, readers).status
+    counts = [readers[s]().agg(F.count("*").alias("n_rows")).select(F.lit(s).alias("_site"), "n_rows") for s in readers if s != "houstby"]
+    return status.join(U.union_by_name(counts), F.col("site") == F.col("_site"), "left").drop("_site")
+
+
+def _staged_packages(c):
+    """Packages in name order with their number of checks and of staged rows."""
+    listed = C.checks_frame(c["part"].sparkSession, list(PACKAGES.values())).groupBy("package_no", "package").agg(F.count("*").alias("checks"))
+    staged = [c[v].agg(F.count("*").alias("staged_rows")).select(F.lit(p).alias("_p"), "staged_rows") for p, v in SAMPLE_INPUTS.items()]
+    return listed.join(U.union_by_name(staged), F.col("package") == F.col("_p")).drop("_p")
+
+
 ops(
     {
         "L05_extract": (lambda c: E.extract(*site_slices(c)).df, "select distinct * from orders"),
         "S04_site_extract": (lambda c: E.extract(*site_slices(c), sites=["edm", "xyz", "sha"]).df, "select * from orders where o_orderkey%5 in (0,1,4)"),
         "L05_extract_status": (
-            lambda c: E.extract(*site_slices(c)).status.join(c["orders"].agg(F.count("*").alias("n_orders")), F.lit(True)).select("position", "site", "status", "attempts", "message", "n_orders"),
-            "select s.*, (select count(*) from orders) as n_orders from (values (1,'edm','ok',1,null),(2,'fra','ok',1,null),(3,'houstby','failed',1,'ORA-16000: database open for read-only access'),(4,'nor','ok',1,null),(5,'sha','ok',1,null),(6,'houprod','ok',1,null)) s(position,site,status,attempts,message)",
+            lambda c: _site_rows(c),
+            "select s.*, case when site='houstby' then null else (select count(*) from orders where o_orderkey%5 in (k,(k+1)%5)) end as n_rows from (values (1,'edm','ok',1,null,0),(2,'fra','ok',1,null,1),(3,'houstby','failed',1,'ORA-16000: database open for read-only access',2),(4,'nor','ok',1,null,3),(5,'sha','ok',1,null,4),(6,'houprod','ok',1,null,2)) s(position,site,status,attempts,message,k)".replace("s.*", "position, site, status, attempts, message"),
         ),
         "S05_linked_table": (lambda c: c.with_tables(**{"pitem@shatc": c["pitem"].filter("puid like 'D%'")}).at("sha")["pitem"], "select * from {pitem} where puid like 'D%'"),
     }
@@ -395,8 +410,8 @@ OPS["X02_sql_check"] = (
     "select p_partkey, p_size from part where p_size > 40",
 )
 OPS["X03_package_list"] = (
-    lambda c: C.checks_frame(c["part"].sparkSession, list(PACKAGES.values())).groupBy("package_no", "package").agg(F.count("*").alias("checks")).join(c["part"].agg(F.count("*").alias("n_parts")), F.lit(True)),
-    "select v.*, (select count(*) from part) as n_parts from (values (1,'bom',32),(2,'doc_relation',27),(3,'document',53),(4,'item',63),(5,'name_desc',22),(6,'ownership',18),(7,'status',21),(8,'supersede',24)) v(package_no, package, checks)",
+    _staged_packages,
+    " union all ".join(f"select {i} as package_no, '{n}' as package, {len(PACKAGES[n].checks)} as checks, (select count(*) from {{{SAMPLE_INPUTS[n]}}}) as staged_rows" for i, n in enumerate(sorted(PACKAGES), start=1)),
 )
 OPS["V16_not_in_lov"] = (lambda c: S.not_in_lov(c["documents"], {"lang": "v"}, c["documents"].filter("lang in ('en', 'fr')").select(F.col("lang").alias("v")), "source"), "select lang, count(distinct source) as cnt from documents where lang not in ('en','fr') group by 1")
 OPS["V26_not_numeric"] = (lambda c: R.not_numeric("quantity").frame(c["stg_bom"]), "select * from {stg_bom} where quantity is not null and try_cast(quantity as decimal(38,10)) is null")

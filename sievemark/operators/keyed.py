@@ -42,7 +42,7 @@ def join_key_statistic(
 
     ``weight`` is the statistic column with the number of rows of the key. The salt depends only on
     the row and its input partition, so a retried task sends every row to the same place again.
-    ``weights`` may name a cheaper frame with the same keys and weights.
+    ``weights`` may name a cheaper frame with one row per key, needed if a key has several statistics.
     """
     keys, columns = list(keys), rows.columns
     is_heavy = F.col(weight) >= HEAVY_KEY_ROWS
@@ -57,8 +57,9 @@ def join_key_statistic(
 
 
 def _keyed(df: DataFrame, keys: Sequence[Column | str]) -> tuple[DataFrame, list[str]]:
-    names = [f"_key{i}" for i in range(len(keys))]
-    return df.select("*", *[_col(k).alias(n) for n, k in zip(names, keys)]), names
+    """The frame with a column per key expression; a key given by name is used as it is."""
+    names = [k if isinstance(k, str) else f"_key{i}" for i, k in enumerate(keys)]
+    return df.select("*", *[k.alias(n) for n, k in zip(names, keys) if not isinstance(k, str)]), names
 
 
 def duplicate_rows(
@@ -89,16 +90,21 @@ def multi_value_rows(
 ) -> DataFrame:
     """Rows of keys that have more than one distinct value, with the number of values."""
     rows, names = _keyed(df, keys)
-    rows = rows.select(*named_columns(show), *names, _col(value).alias("_value"))
-    columns = [c for c in rows.columns if c not in (*names, "_value")]
+    shown = rows.select(*named_columns(show)).columns if "*" not in show else df.columns
+    held = value if isinstance(value, str) and value in shown else "_value"
+    extra = [F.col(n) for n in names if n not in shown]
+    if held == "_value":
+        extra.append(_col(value).alias(held))
+    show = df.columns if "*" in show else show
+    rows = rows.select(*named_columns(show), *extra)
     if distinct:
         rows = rows.distinct()
     stat = (
         rows.groupBy(*names)
-        .agg(F.count_distinct("_value").alias("_values"), F.count("*").alias("_weight"))
+        .agg(F.count_distinct(held).alias("_values"), F.count("*").alias("_weight"))
         .filter(F.col("_values") > 1)
     )
-    return join_key_statistic(rows, stat, names, "_weight").select(*columns, F.col("_values").alias(count_name))
+    return join_key_statistic(rows, stat, names, "_weight").select(*shown, F.col("_values").alias(count_name))
 
 
 def distinct_count_per_key(df: DataFrame, keys: Sequence[Column | str], value: Column | str, name: str) -> DataFrame:

@@ -44,9 +44,8 @@ def alt_id_missing(c: Context):
 
 
 def same_sequence(c: Context):
-    parent, child = T.id_key("parent_tc_id"), T.id_key("child_tc_id")
-    show = [parent.alias("parent_tc_id"), "seq_no", child.alias("child_tc_id"), "quantity"]
-    return N.multi_value_rows(c.chk, [parent, "seq_no"], child, show)
+    rows = c.chk.select(T.id_key("parent_tc_id").alias("parent_tc_id"), "seq_no", T.id_key("child_tc_id").alias("child_tc_id"), "quantity")
+    return N.multi_value_rows(rows, ["parent_tc_id", "seq_no"], "child_tc_id")
 
 
 def group_profile(c: Context):

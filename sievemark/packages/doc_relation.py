@@ -74,15 +74,18 @@ def latest_created_differs(c: Context):
     The list repeats each revision once per staged row of the same document and revision.
     """
     columns = c.chk.columns
-    staged = c.chk.groupBy(*columns).agg(F.count("*").alias("_n"))
-    rows = L.with_revision(L.with_item(staged, c.refs, "doc_id"), c.refs, "created")
-    rows = S.delta_update(rows, "last_rev", "revision").select(*columns, "_n", "item_puid", "last_rev")
-    per_pair = rows.groupBy("item_puid", "revision").agg(F.sum("_n").alias("_copies"))
-    listed = per_pair.join(K.revision_dates(c.refs), F.col("item_puid") == F.col("rev_item"))
-    lists = N.value_lists(listed, ["item_puid", "revision"], "rev_id", "doc_rev_list", order=["rev_created"], copies=F.col("_copies"))
-    lists = lists.select(F.col("item_puid").alias("_item"), F.col("revision").alias("_revision"), "doc_rev_list")
-    out = rows.join(lists, (F.col("item_puid") == F.col("_item")) & (F.col("revision") == F.col("_revision")))
-    return out.select(*columns, F.col("last_rev").alias("doc_rev_latest"), "doc_rev_list").distinct()
+    staged = c.chk.groupBy(*columns).agg(F.count("*").alias("_n")).withColumn("_key", T.id_key("doc_id"))
+    per_pair = staged.groupBy("_key", "revision").agg(F.sum("_n").alias("_copies"))
+    pairs = per_pair.join(K.items(c.refs, local=True), F.col("_key") == F.col("item_key"))
+    pairs = S.delta_update(L.with_revision(pairs, c.refs, "created"), "last_rev", "revision")
+    pairs = pairs.select("_key", "revision", "_copies", "item_puid", F.col("last_rev").alias("doc_rev_latest"))
+    listed = pairs.join(K.revision_dates(c.refs), F.col("item_puid") == F.col("rev_item"))
+    # Items of the same key are listed on their own; equal lists of one key count once.
+    keys = ["_key", "revision", "_copies", "item_puid", "doc_rev_latest"]
+    lists = N.value_lists(listed, keys, "rev_id", "doc_rev_list", order=["rev_created"], copies=F.col("_copies"))
+    lists = lists.drop("item_puid").distinct()
+    rows = N.join_key_statistic(staged, lists, ["_key", "revision"], "_copies", weights=per_pair)
+    return rows.select(*columns, "doc_rev_latest", "doc_rev_list")
 
 
 def not_latest(kind: str):
