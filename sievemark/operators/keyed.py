@@ -90,12 +90,12 @@ def multi_value_rows(
 ) -> DataFrame:
     """Rows of keys that have more than one distinct value, with the number of values."""
     rows, names = _keyed(df, keys)
-    shown = rows.select(*named_columns(show)).columns if "*" not in show else df.columns
+    show = df.columns if any(isinstance(c, str) and c == "*" for c in show) else show
+    shown = rows.select(*named_columns(show)).columns
     held = value if isinstance(value, str) and value in shown else "_value"
     extra = [F.col(n) for n in names if n not in shown]
     if held == "_value":
         extra.append(_col(value).alias(held))
-    show = df.columns if "*" in show else show
     rows = rows.select(*named_columns(show), *extra)
     if distinct:
         rows = rows.distinct()
