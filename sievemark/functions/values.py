@@ -41,7 +41,7 @@ def null_label(c: Column | str, label: str) -> Column:
 
 def request_date(c: Column | str, now: Column | None = None) -> Column:
     """Input date re-formatted for a request; blank means ``now``; NULL where it cannot be read."""
-    text = F.coalesce(null_if_blank(c), F.date_format(now if now is not None else F.current_timestamp(), INPUT_DATE))
+    text = F.coalesce(null_if_blank(c), F.date_format(F.lit(now) if now is not None else F.current_timestamp(), INPUT_DATE))
     return F.date_format(F.try_to_timestamp(text, F.lit(INPUT_DATE)), REQUEST_DATE)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievemark.functions.text import _col
@@ -157,8 +157,12 @@ def value_lists(
     long = parts.groupBy(*keys).agg(size.alias("_size")).filter(F.col("_size") > LIST_BYTES).select(*keys)
     long = other_keys(long, keys)
     short_lists = parts.join(F.broadcast(long), same_keys(keys), "left_anti").groupBy(*keys).agg(listed)
-    cut = parts.join(F.broadcast(long), same_keys(keys), "left_semi").repartitionByRange(*keys, *order, "_v")
-    long_lists = cut.withColumn("_cut", F.spark_partition_id()).groupBy(*keys, "_cut").agg(listed).drop("_cut")
+    ranged = parts.join(F.broadcast(long), same_keys(keys), "left_semi").repartitionByRange(*keys, *order, "_v")
+    ranged = ranged.withColumn("_range", F.spark_partition_id())
+    in_order = [F.asc_nulls_last(c) for c in [*order, "_v"]]
+    running = F.sum(F.octet_length("_entry").cast("bigint") + len(sep)).over(Window.partitionBy(*keys, "_range").orderBy(*in_order))
+    cut = ranged.withColumn("_cut", F.floor(running / LIST_BYTES))
+    long_lists = cut.groupBy(*keys, "_range", "_cut").agg(listed).drop("_range", "_cut")
     return short_lists.unionByName(long_lists)
 
 

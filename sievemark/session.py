@@ -8,10 +8,10 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(name: str = "sievemark", cores: str | None = None) -> SparkSession:
+def local_session(name: str = "sievemark", cores: str | None = None, **conf: str) -> SparkSession:
     """Session for tests and benchmarks on one machine; on a cluster, pass the cluster's own session."""
     cores = cores or os.environ.get("BENCH_CPUS", "8")
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
@@ -19,27 +19,31 @@ def local_session(name: str = "sievemark", cores: str | None = None) -> SparkSes
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    for key, value in conf.items():
+        builder = builder.config(key.replace("__", "."), value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+_TEST_FOLDERS: dict[str, str] = {}
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster; a temporary one only where none is set (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="sievemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _TEST_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="sievemark-"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
+    """Reliable checkpoint in the shared folder, so that later passes see the same rows in the same places."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint(eager=True)

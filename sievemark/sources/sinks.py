@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,11 +65,21 @@ def write_input_lines(df: DataFrame, folder: str, fallback_format: str = "csv")
     if len(df.columns) != 1:
         df.toDF(*[c.upper() for c in df.columns]).write.mode("overwrite").option("header", "true").format(fallback_format).save(folder)
         return fallback_format
-    lines = df.toDF(HEADING)
-    lines.write.mode("overwrite").option("header", "true").option("lineSep", "\r\n").option("quote", "").option("emptyValue", "").csv(folder)
+    text = df.toDF("value").select(F.col("value").cast("string"))
+    text.mapInArrow(_with_heading, "value string").write.mode("overwrite").option("lineSep", "\r\n").text(folder)
     return "text"
 
 
+def _with_heading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The heading line before the lines of each file."""
+    first = True
+    for batch in batches:
+        if first:
+            yield pa.RecordBatch.from_pydict({"value": [HEADING]})
+            first = False
+        yield batch
+
+
 def append_log(log: DataFrame, path: str) -> None:
     log.coalesce(1).write.mode("append").parquet(path)
 
@@ -86,3 +97,8 @@ def write_export(df: DataFrame, folder: str) -> None:
 def write_pass_fail(df: DataFrame, folder: str, status: str = "status") -> None:
     """Results split by status in one pass."""
     df.write.mode("overwrite").partitionBy(status).json(folder)
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
+    """Master table bucketed and sorted by its join key, so that joins on the key need no shuffle of it."""
+    df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
