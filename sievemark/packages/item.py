@@ -24,10 +24,15 @@ def alternate(c: Context):
     return K.pick(c.refs["altid_all_site"], alt_item="pitem_id", alt_id="pidfr_id", cxt="pidcxt_name", item_group="item_group", local_site="local_site")
 
 
+def in_warehouse(c: Context):
+    ids, dw = c.chk.select("tc_id").distinct(), K.master(c.refs)
+    return S.exists_in(ids, T.id_key("tc_id"), dw, "dw_key", ["tc_id", *[x for x in dw.columns if x != "dw_key"]])
+
+
 def alt_id_exists(c: Context):
     alt = alternate(c).withColumn("_key", T.id_key("alt_id"))
     show = ["tc_id", F.col("alternateid").alias("given_altid"), "cxt", F.col("alt_item").alias("actual_related_item"), "item_group", "local_site"]
-    return S.exists_in(c.chk, T.id_key("alternateid"), alt, "_key", show)
+    return S.exists_in(c.chk.select("tc_id", "alternateid").distinct(), T.id_key("alternateid"), alt, "_key", show)
 
 
 def alt_id_differs(c: Context):
@@ -47,8 +52,9 @@ def owning_group(c: Context):
 
 def status_updates(id_col: str, status_col: str, distinct: bool):
     def make(c: Context):
-        master = K.master(c.refs)
-        joined = c.chk.join(master, T.id_key(id_col) == F.col("dw_key"))
+        staged = c.chk.select(id_col, status_col)
+        staged = staged.distinct() if distinct else staged
+        joined = staged.join(K.master(c.refs), T.id_key(id_col) == F.col("dw_key"))
         joined = joined.join(K.item_status(c.refs, inner=False), F.col("dw_puid") == F.col("status_item"), "left")
         return S.delta_update(
             joined,
@@ -68,7 +74,9 @@ def text_updates(id_col: str, new: str, current: str, label: str, line, lengths=
 
     def make(c: Context):
         objects = K.pick(c.refs["pworkspaceobject"], wso_puid="puid", wso_text=current)
-        joined = c.chk.join(K.master(c.refs), T.id_key(id_col) == F.col("dw_key")).join(objects, F.col("dw_puid") == F.col("wso_puid"))
+        staged = c.chk.select(id_col, new)
+        staged = staged.distinct() if distinct else staged
+        joined = staged.join(K.master(c.refs), T.id_key(id_col) == F.col("dw_key")).join(objects, F.col("dw_puid") == F.col("wso_puid"))
         show = [id_col, F.col(f"dw_{current}").alias(f"{label}_current")]
         if lengths:
             show.append(T.text_length(f"dw_{current}").alias("length_current"))
@@ -108,7 +116,7 @@ CHECKS = [
     Check("A01", INFO, "Count Total Rows", lambda c: R.row_count(), summary=True),
     Check("A02", INFO, "Count Total Items", lambda c: R.distinct_count(cnt="tc_id"), summary=True),
     Check("A03", INFO, "Item Staged Twice", lambda c: N.duplicate_rows(c.chk, [T.id_key("tc_id"), T.id_key("revision")]), ["tc_id"]),
-    Check("A04", ISSUE, "Item Exist in Warehouse", lambda c: existing(c).drop("dw_key").select("tc_id", *[x for x in K.master(c.refs).columns if x != "dw_key"]).distinct()),
+    Check("A04", ISSUE, "Item Exist in Warehouse", in_warehouse),
     Check("A05", ISSUE, "Item Exist in Product System", lambda c: S.count_existing(c.chk, "tc_id", K.items(c.refs, local=True), "item_key"), summary=True),
     Check("A06", ISSUE, "Alt ID Exist in Product System", alt_id_exists),
     Check("A07", ISSUE, "Item with different Alt ID in Product System", alt_id_differs),

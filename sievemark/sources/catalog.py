@@ -59,12 +59,12 @@ class Catalog(Mapping):
         return cls({n: (lambda t=t: spark.table(t)) for n, t in names.items()}, site)
 
 
-_SAMPLES: dict[tuple[int, str], Catalog] = {}
+_SAMPLES: dict[tuple[str, str], Catalog] = {}
 
 
 def sample_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """All base tables and sample views over one parquet folder."""
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _SAMPLES:
         tables: dict[str, Callable[[], DataFrame]] = {
             t: (lambda t=t: spark.read.parquet(f"{key[1]}/{t}.parquet")) for t in BASE_TABLES
