@@ -113,6 +113,27 @@ def measures_over(df: DataFrame, parts: Sequence[tuple[str, R.Measure]]) -> Data
     return out.select("check_id", F.to_json(F.map_from_entries("values"), {"ignoreNullFields": "false"}).alias("row"))
 
 
+def _resolves(base: DataFrame, members: Sequence[tuple[str, R.Part]]) -> str | None:
+    """Error text if an expression of the parts does not fit the table, such as a missing column."""
+    columns: list[Column] = []
+    aggregates: list[Column] = []
+    for _, part in members:
+        if isinstance(part, R.Measure):
+            aggregates += part.values.values()
+        elif isinstance(part, R.Tally):
+            columns += [part.value] if part.where is None else [part.value, part.where]
+        else:
+            columns += [part.where, *named_columns(part.show)]
+    try:
+        if columns:
+            base.select(*columns).schema
+        if aggregates:
+            base.agg(*aggregates).schema
+    except Exception as e:  # noqa: BLE001
+        return str(e).split("\n")[0]
+    return None
+
+
 def split_parts(ctx: Context, checks: Sequence[Check]):
     """Made checks by kind: parts per base table, frames, and the error text of those that cannot be made."""
     parts: dict[str, list[tuple[str, R.Part]]] = {}
@@ -121,13 +142,20 @@ def split_parts(ctx: Context, checks: Sequence[Check]):
     for check in checks:
         try:
             made = check.make(ctx)
-            if isinstance(made, DataFrame):
-                frames[check.id] = made
-            else:
-                made.frame(ctx.base(made.over)).schema  # a missing column shows here
-                parts.setdefault(made.over, []).append((check.id, made))
         except Exception as e:  # noqa: BLE001 - one bad check must not stop the package
             errors[check.id] = str(e).split("\n")[0]
+            continue
+        if isinstance(made, DataFrame):
+            frames[check.id] = made
+        else:
+            parts.setdefault(made.over, []).append((check.id, made))
+    for over, members in list(parts.items()):
+        base = ctx.base(over)
+        if _resolves(base, members) is None:
+            continue
+        wrong = {i: text for i, part in members if (text := _resolves(base, [(i, part)])) is not None}
+        errors |= wrong
+        parts[over] = [m for m in members if m[0] not in wrong]
     return parts, frames, errors
 
 
