@@ -109,3 +109,23 @@ def module_cache(name: str) -> dict:
     here = sys.modules[__name__]
     caches = here.__dict__.setdefault("_CACHES", {})
     return caches.setdefault(name, {})
+
+MAX_CLASSES = 256
+
+
+def hashed_sample(df: DataFrame, label: str, by: str, most: int) -> DataFrame:
+    """About ``most`` rows of each value of ``label``, chosen by a hash of ``by`` alone, equal rows once.
+
+    Copies of one row hash alike and count once, so a large group of copies adds one row. Labels beyond the
+    ``MAX_CLASSES`` most frequent ones are left out; this only fits models, it never limits what is scored.
+    """
+    known = df.filter(F.col(label).isNotNull() & F.col(by).isNotNull()).select(label, by)
+    counts = known.groupBy(label).agg(F.approx_count_distinct(F.xxhash64(by)).alias("_n"))
+    found = counts.orderBy(F.desc("_n"), label).limit(MAX_CLASSES).collect()
+    if not found:
+        return known.limit(0)
+    place = F.xxhash64(by) / F.lit(float(2**64)) + F.lit(0.5)
+    keep = F.lit(False)
+    for value, n in found:
+        keep = keep | ((F.col(label) == F.lit(value)) & (place < F.lit(most / max(n, 1))))
+    return known.filter(keep).distinct()

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sievemark.llm.bpe_transducer import bpe_digests
-from sievemark.llm.common import table
+from sievemark.llm.common import fold, hashed_sample, table
+from sievemark.llm.language_zstd import fit_dictionaries, predict_language
+from sievemark.llm.quality_ordinal import SAMPLE_TEXTS as SAMPLE_QUALITY
+from sievemark.llm.quality_ordinal import OrdinalModel, fit_quality, score_quality
+from sievemark.llm.secret_grammar import secret_digests
+from sievemark.llm.toxicity_kernel import SAMPLE_TEXTS as SAMPLE_TOXIC
+from sievemark.llm.toxicity_kernel import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,8 +24,55 @@ def bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_digests(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def language_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    model = fit_dictionaries(docs.filter(~held_out).select("lang", "text"))
+    return predict_language(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+
+
+def labelled(spark: SparkSession, sf_dir: str, label: str, most: int, keep: Column | None = None) -> tuple[DataFrame, dict]:
+    """Texts of about ``most`` labelled documents per label, chosen by hash, and how many there are of each label.
+
+    The chosen ids are bounded by ``most`` per label, so they are broadcast and no text is shuffled.
+    """
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), label)
+    labels = labels if keep is None else labels.filter(keep)
+    chosen = hashed_sample(labels, label, "_id", most)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    prior = {r[0]: r[1] for r in labels.filter(F.col(label).isNotNull()).groupBy(label).count().collect()}
+    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).drop("_id"), prior
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> OrdinalModel:
+    rated, prior = labelled(spark, sf_dir, "quality", SAMPLE_QUALITY)
+    return fit_quality(rated, grade="quality", prior=prior)
+
+
+def quality_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(docs, quality_model(spark, sf_dir)).drop("text")
+
+
+def toxicity_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 5) == 0
+    rated, prior = labelled(spark, sf_dir, "toxic", SAMPLE_TOXIC, fold("_id", 5) != 0)
+    model = fit_toxicity(rated, prior=prior)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return score_toxicity(docs, model).drop("text")
+
+
 QUERIES: dict[str, Query] = {
+    "op3_secret_grammar": secret_grammar,
     "op4_bpe_transducer": bpe_transducer,
+    "op7_language_zstd": language_zstd,
+    "op8_quality_ordinal": quality_ordinal,
+    "op10_toxicity_kernel": toxicity_kernel,
 }
 
 ORACLE_SQL: dict[str, str] = {}
