@@ -22,8 +22,8 @@ DICTIONARY_BYTES = 96 << 10  # per language
 SAMPLE_TEXTS = 150  # labelled texts per language
 PIECE = 256  # characters of a dictionary piece
 PIECES_PER_TEXT = 48
-BLOCK = 1024  # bytes compressed at a time
-LEVEL = 3
+BLOCK = 2048  # bytes compressed at a time
+LEVEL = 12  # its parser weighs matches against plain letters; lower levels take matches that do not pay
 MIN_MARGIN = 0.01
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")

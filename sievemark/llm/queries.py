@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from sievemark.llm.bpe_transducer import bpe_digests
 from sievemark.llm.common import fold, hashed_sample, table
+from sievemark.llm.decontamination import find_leaks
 from sievemark.llm.language_zstd import fit_dictionaries, predict_language
+from sievemark.llm.ngram_join import similar_documents
 from sievemark.llm.quality_ordinal import SAMPLE_TEXTS as SAMPLE_QUALITY
 from sievemark.llm.quality_ordinal import OrdinalModel, fit_quality, score_quality
 from sievemark.llm.secret_grammar import secret_digests
@@ -19,6 +21,14 @@ from sievemark.llm.toxicity_kernel import fit_toxicity, score_toxicity
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
 def bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -68,6 +78,8 @@ def toxicity_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash_decontamination": simhash_decontamination,
+    "op2_ngram_rtree_join": ngram_join,
     "op3_secret_grammar": secret_grammar,
     "op4_bpe_transducer": bpe_transducer,
     "op7_language_zstd": language_zstd,
