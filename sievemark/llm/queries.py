@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemark.llm.bpe_transducer import bpe_digests
+from sievemark.llm.chat_prefix import conversation_digests, prefix_examples
 from sievemark.llm.common import fold, hashed_sample, table
 from sievemark.llm.decontamination import find_leaks
+from sievemark.llm.html_consensus import extract_main_text
 from sievemark.llm.language_zstd import fit_dictionaries, predict_language
 from sievemark.llm.ngram_join import similar_documents
 from sievemark.llm.quality_ordinal import SAMPLE_TEXTS as SAMPLE_QUALITY
@@ -17,6 +19,7 @@ from sievemark.llm.quality_ordinal import OrdinalModel, fit_quality, score_quali
 from sievemark.llm.secret_grammar import secret_digests
 from sievemark.llm.toxicity_kernel import SAMPLE_TEXTS as SAMPLE_TOXIC
 from sievemark.llm.toxicity_kernel import fit_toxicity, score_toxicity
+from sievemark.llm.winnowing import edited_fingerprints
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +42,26 @@ def secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    return conversation_digests(prefix_examples(talks.unionByName(own)))
+
+
+def html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
+def winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def language_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 4) == 2
@@ -82,8 +105,11 @@ QUERIES: dict[str, Query] = {
     "op2_ngram_rtree_join": ngram_join,
     "op3_secret_grammar": secret_grammar,
     "op4_bpe_transducer": bpe_transducer,
+    "op5_chat_prefix": chat_prefix,
+    "op6_html_consensus": html_consensus,
     "op7_language_zstd": language_zstd,
     "op8_quality_ordinal": quality_ordinal,
+    "op9_winnowing": winnowing,
     "op10_toxicity_kernel": toxicity_kernel,
 }
 
