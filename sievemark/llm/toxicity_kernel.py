@@ -75,7 +75,8 @@ def explicit(words: list[str]) -> np.ndarray:
     for index, weight in subsequences(codes):
         np.add.at(out, (np.broadcast_to(rows, index.shape), index), weight)
     out[:, 0] = 0
-    return out / norms(codes)[:, None]
+    out /= norms(codes)[:, None].astype(np.float32)
+    return out
 
 
 def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
@@ -85,7 +86,8 @@ def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
     for index, weight in subsequences(codes):
         for start in range(0, index.shape[1]):
             out += weight * landmarks[:, index[:, start]].T
-    return out / norms(codes)[:, None]
+    out /= norms(codes)[:, None].astype(np.float32)
+    return out
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 400, decay: float = 1e-4) -> tuple[np.ndarray, float]:
