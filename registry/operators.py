@@ -42,6 +42,11 @@ def op(name, sql=None):
     return add
 
 
+def own_key(k):
+    """Part keys of one sheet: every k-th is one that no other sheet has."""
+    return f"case when p_partkey%{k}=0 then -{k}*p_partkey else p_partkey end"
+
+
 def ops(entries):
     OPS.update(entries)
 
@@ -77,13 +82,13 @@ ops(
         "J02_join_chain": (lambda c: K.dataset_files(c), "select e.rprimary_objectu as files_rev, n.pobject_name as dataset_name_current, f.poriginal_file_name as dataset_namedref_current from {pimanrelation} e, {pimantype} t, {pdataset} s, {pdatasettype} y, {pworkspaceobject} n, {pref_list_0} l, {pimanfile} f where t.puid=e.rrelation_typeu and t.ptype_name='IMAN_specification' and s.puid=e.rsecondary_objectu and y.puid=s.rdataset_typeu and n.puid=s.puid and l.puid=s.puid and f.puid=l.pvalu_0"),
         "J03_left_join": (lambda c: K.items(c).join(K.item_status(c), F.col("item_puid") == F.col("status_item"), "left").select("item_puid", "status_name"), "select i.puid as item_puid, s.pname as status_name from {pitem} i left join ({prelease_status_list} l join {preleasestatus} s on s.puid=l.pvalu_0) on l.puid=i.puid"),
         "J04_anti_join": (lambda c: S.missing_in(c["stg_status"], "tc_id", K.master(c), "dw_key"), f"select c.* from {{stg_status}} c left join {MK} w on w.k=c.tc_id where w.k is null"),
-        "J05_not_exists": (lambda c: c["part"].join(c["lineitem"], F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey"), "select p_partkey from part where not exists (select 1 from lineitem where l_partkey=p_partkey)"),
+        "J05_not_exists": (lambda c: c["part"].join(c["lineitem"].filter("l_quantity > 48"), F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey"), "select p_partkey from part where not exists (select 1 from lineitem where l_partkey=p_partkey and l_quantity>48)"),
         "J06_anti_join_any": (lambda c: U.anti_join_any(K.master(c).select("dw_tc_id", "dw_pname"), ("dw_tc_id", c["stg_owner"], "tc_id"), ("dw_pname", c["stg_owner"], "grp_new")), "select w.tc_id as dw_tc_id, w.pname as dw_pname from {item_all_site} w where not exists (select 1 from {stg_owner} o where o.tc_id=w.tc_id or o.grp_new=w.pname)"),
         "J07_semi_join": (lambda c: c["orders"].join(c["lineitem"].filter(F.col("l_returnflag") == "R"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("o_orderkey"), "select o_orderkey from orders where o_orderkey in (select l_orderkey from lineitem where l_returnflag='R')"),
         "J08_right_join": (lambda c: K.occurrences(c).join(K.pick(c["pstructure_revisions"], puid="puid"), F.col("struct_rev") == F.col("puid"), "right").groupBy("puid").agg(F.count("occ_child").alias("children")), "select r.puid, count(p.rchild_itemu) as children from {ppsoccurrence} p right join {pstructure_revisions} r on r.pvalu_0=p.rparent_bvru group by 1"),
         "J09_full_outer_inputs": (
-            lambda c: U.outer_join_inputs([c["part"].filter("p_partkey % 3 <> 0").selectExpr("p_partkey as ID", "p_name as NAME", "p_brand as BRAND"), c["part"].filter("p_partkey % 5 <> 0").selectExpr("p_partkey as ID", "upper(p_name) as NAME", "p_type as TYPE"), c["part"].filter("p_partkey % 7 <> 0").selectExpr("p_partkey as ID", "p_size as SIZE")], ["ID"]),
-            "select coalesce(a.id, b.id, s.id) as ID, a.name as NAME_x, a.brand as BRAND, b.name as NAME_y, b.type as TYPE, s.size as SIZE from (select p_partkey as id, p_name as name, p_brand as brand from part where p_partkey%3<>0) a full join (select p_partkey as id, upper(p_name) as name, p_type as type from part where p_partkey%5<>0) b on b.id=a.id full join (select p_partkey as id, p_size as size from part where p_partkey%7<>0) s on s.id=coalesce(a.id,b.id)",
+            lambda c: U.outer_join_inputs([c["part"].selectExpr(f"{own_key(3)} as ID", "p_name as NAME", "p_brand as BRAND"), c["part"].selectExpr(f"{own_key(5)} as ID", "upper(p_name) as NAME", "p_type as TYPE"), c["part"].selectExpr(f"{own_key(7)} as ID", "p_size as SIZE")], ["ID"]),
+            f"select coalesce(a.id, b.id, s.id) as ID, a.name as NAME_x, a.brand as BRAND, b.name as NAME_y, b.type as TYPE, s.size as SIZE from (select {own_key(3)} as id, p_name as name, p_brand as brand from part) a full join (select {own_key(5)} as id, upper(p_name) as name, p_type as type from part) b on b.id=a.id full join (select {own_key(7)} as id, p_size as size from part) s on s.id=coalesce(a.id,b.id)",
         ),
         "J10_multi_key_join": (lambda c: L.with_given_revision(L.with_item(c["stg_docrel"].select(F.col("item_id").alias("given_item"), "revision"), c, "given_item", local=False), c, "revision").select("given_item", "rev_puid"), "select d.item_id as given_item, r.puid as rev_puid from {stg_docrel} d join {pitem} i on upper(i.pitem_id)=upper(d.item_id) join {pitemrevision} r on r.ritems_tagu=i.puid and r.pitem_revision_id=d.revision"),
         "J11_theta_residual": (lambda c: S.delta_update(c["lineitem"].join(c["part"], F.col("l_partkey") == F.col("p_partkey")), big("l_linenumber"), big(F.col("p_size") % 7), show=["l_orderkey", "l_linenumber", "p_size"]), "select l_orderkey, l_linenumber, p_size from lineitem join part on p_partkey=l_partkey where l_linenumber<>p_size%7"),
@@ -131,7 +136,7 @@ ops(
         "O03_ordered_groups": (lambda c: D.grouped_records(RD.conversion_records(files.conversion_lines(c))), "select substr(a, 1, instr(a,'|')-1) as \"itemID\", rev as \"revID\", count(*) as records from (select concat('DOC-',cast(doc_id%50 as varchar),'|') as a, cast(n_chars%3 as varchar) as rev from documents) group by 1, 2"),
         "U01_union_ids": (lambda c: U.id_union(c["stg_bom"], {"Assembly": T.id_key("parent_tc_id"), "Component": T.id_key("child_tc_id")}), "select upper(parent_tc_id) as tc_id, 'Assembly' as type from {stg_bom} union select upper(child_tc_id), 'Component' from {stg_bom}"),
         "U02_union_by_name": (lambda c: U.union_by_name([c["part"].select("p_partkey", "p_name"), c["part"].select("p_partkey", "p_brand")]), "select p_partkey, p_name, p_brand from (select p_partkey, p_name, null as p_brand from part union all select p_partkey, null, p_brand from part)"),
-        "U03_union_distinct": (lambda c: U.union_distinct([c["orders"].filter("o_orderkey % 5 <> 0"), c["orders"].filter("o_orderkey % 3 <> 0")]), "select * from orders where o_orderkey%5<>0 or o_orderkey%3<>0"),
+        "U03_union_distinct": (lambda c: U.union_distinct([c["orders"], c["orders"].withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 3 == 0, "X").otherwise(F.col("o_orderstatus")))]), "select * from orders union select * replace (case when o_orderkey%3=0 then 'X' else o_orderstatus end as o_orderstatus) from orders"),
     }
 )
 
@@ -236,23 +241,46 @@ PLAN_ACTION = "case when not dated then 'fail' when creates and item_type='Docum
 PLAN_MESSAGE = "case when not dated then 'date cannot be read' when creates then null when not open then 'item has an unsupported type ('||item_type||')' when repeated then 'item revision already exists, skipping' end"
 
 
+# Every request as a list of words, one statement for each kind.
+_NULLS = lambda names: "||chr(9)||".join(f"'{k} null'" for k in names.split())
+_SPEC = "NOV4_HEIGHT NOV4_LENGTH NOV4_WIDTH NOV4_LWH_UNITS NOV4_VOLUME NOV4_VOL_UNITS NOV4_WEIGHT NOV4_WGT_UNITS"
+_NEW = "'ITEMID '||itemid||chr(9)||'ITEMNAME '||x.name||chr(9)||'ITEMDESC '||replace(x.description,chr(10),'')"
+_CREATED = "'DATE 31-Jan-20 10:20:30'"
+REQUESTS_SQL = (
+    PLAN
+    + f""", q as (select d.*, {PLAN_ACTION} as action, x.name, x.description from d join (select position, name, description from {LOAD_RECORDS}) x using (position))
+select action, position::varchar as position, case action
+  when 'create_part' then 'FUNCTION addPartItem'||chr(9)||{_NEW}||chr(9)||'REVISION '||revision||chr(9)||'RSONE_ITEMTYPE '||item_type||chr(9)||{_NULLS("RSONE_UOM RSONE_UOW REV_WEIGHT NAME2 PARTSUBTYPE LIFECYCLE SITES REVCOMMENTS ITEM_UOM NOV4_MIS_TYPE NOV4_MIS_SERIALIZE " + _SPEC)}||chr(9)||{_CREATED}
+  when 'create_document' then 'FUNCTION addDocumentsItem'||chr(9)||'ITEMTYPE null'||chr(9)||{_NEW}||chr(9)||'CATEGORY null'||chr(9)||'REVISION '||revision||chr(9)||'SEQNO 001'||chr(9)||'SHEET null'||chr(9)||'PUBLISHWEB false'||chr(9)||'PUBLISHPP false'||chr(9)||'PULLDRAWING false'||chr(9)||{_NULLS("LIFECYCLE SITES REVCOMMENTS")}||chr(9)||{_CREATED}
+  when 'add_revision' then 'FUNCTION addRevision'||chr(9)||'ITEMID '||itemid||chr(9)||'REVISION '||revision||chr(9)||{_NULLS("REV_WEIGHT LIFECYCLE SITES REVCOMMENTS NAME2 " + _SPEC)}||chr(9)||{_CREATED}
+  end as request from q
+union all select 'delete', itemid, 'FUNCTION deleteItem'||chr(9)||'ITEMID '||itemid from (select distinct itemid from {LOAD_RECORDS})
+union all select case when done then 'fail' else 'release' end, itemid||'/'||revision, case when not done then 'FUNCTION releaseRevision'||chr(9)||'ITEMID '||itemid||chr(9)||'REVISION '||revision||chr(9)||'RELEASESTATUS null'||chr(9)||'RELEASEDATE 01-Feb-20 00:00:00' end
+  from (select r.*, exists (select 1 from {KNOWN} x where x.itemid=r.itemid and r.revision='02' and x.released) as done from (select distinct itemid, coalesce(nullif(revision,''),'01') as revision from {LOAD_RECORDS} where date_created<>'2020-01-01') r)"""
+).replace("x.name", "name").replace("x.description", "description").replace("as action, name, description from d", "as action, x.name, x.description from d")
+
+
 def load_plan(c):
     return LP.plan_load(load_records(c), known_items(c), known_revisions(c), now=F.lit(NOW))
 
 
 ops(
     {
-        "L14_record_fields": (lambda c: c["part"].agg(F.count("*").alias("rows"), F.lit(",".join(LP.invalid_columns(c["part"].selectExpr("p_partkey as itemid", "p_name as name", "p_brand as brand"), "part"))).alias("invalid")), "select count(*) as rows, 'brand' as invalid from part"),
+        "L14_record_fields": (lambda c: LP.filled_invalid_fields(c["part"].selectExpr("p_partkey as itemid", "p_name as name", "case when p_size > 9 then p_brand end as brand", "p_type as kind"), "part"), "select 'brand' as field, count(case when p_size > 9 then p_brand end) as filled from part union all select 'kind', count(p_type) from part"),
         "L15_plan_load": (lambda c: load_plan(c).select("position", "itemid", "revision", "item_type", "action", "message", "relate"), PLAN + f"select position, itemid, revision, item_type, {PLAN_ACTION} as action, {PLAN_MESSAGE} as message, ({PLAN_ACTION}) in ('create_document','add_revision') and item_type='Documents' and ds_path is not null and ds_path like '%.%' as relate from d"),
         "L16_plan_delete": (lambda c: LP.plan_delete(load_records(c)), f"select distinct itemid, 'delete' as action from {LOAD_RECORDS}"),
         "L17_plan_release": (lambda c: LP.plan_release(load_records(c), known_revisions(c), now=F.lit(NOW)).select("itemid", "revision", "date_released", "action", "message"), f"with r as (select distinct itemid, coalesce(nullif(revision,''),'01') as revision from {LOAD_RECORDS} where date_created<>'2020-01-01'), s as (select r.*, exists (select 1 from {KNOWN} x where x.itemid=r.itemid and r.revision='02' and x.released) as done from r) select itemid, revision, '01-Feb-20 00:00:00' as date_released, case when done then 'fail' else 'release' end as action, case when done then 'item revision already released' end as message from s"),
         "L18_render_requests": (
-            lambda c: LP.render_requests(load_plan(c).filter("action in ('create_part', 'add_revision')")).select("position", "request"),
-            PLAN + "select d.position, case when creates then 'FUNCTION addPartItem'||chr(9)||'ITEMID '||itemid||chr(9)||'ITEMNAME '||x.name||chr(9)||'ITEMDESC '||replace(x.description,chr(10),'')||chr(9)||'REVISION '||d.revision||chr(9)||'RSONE_ITEMTYPE '||d.item_type||chr(9)||"
-            + "||chr(9)||".join(f"'{k} null'" for k in "RSONE_UOM RSONE_UOW REV_WEIGHT NAME2 PARTSUBTYPE LIFECYCLE SITES REVCOMMENTS ITEM_UOM NOV4_MIS_TYPE NOV4_MIS_SERIALIZE NOV4_HEIGHT NOV4_LENGTH NOV4_WIDTH NOV4_LWH_UNITS NOV4_VOLUME NOV4_VOL_UNITS NOV4_WEIGHT NOV4_WGT_UNITS".split())
-            + "||chr(9)||'DATE 31-Jan-20 10:20:30' else 'FUNCTION addRevision'||chr(9)||'ITEMID '||itemid||chr(9)||'REVISION '||d.revision||chr(9)||"
-            + "||chr(9)||".join(f"'{k} null'" for k in "REV_WEIGHT LIFECYCLE SITES REVCOMMENTS NAME2 NOV4_HEIGHT NOV4_LENGTH NOV4_WIDTH NOV4_LWH_UNITS NOV4_VOLUME NOV4_VOL_UNITS NOV4_WEIGHT NOV4_WGT_UNITS".split())
-            + f"||chr(9)||'DATE 31-Jan-20 10:20:30' end as request from d join (select position, name, description from {LOAD_RECORDS}) x on x.position=d.position where ({PLAN_ACTION}) in ('create_part','add_revision')",
+            lambda c: U.union_by_name([
+                LP.render_requests(load_plan(c)).select("action", F.col("position").cast("string").alias("position"), "request"),
+                LP.render_requests(LP.plan_delete(load_records(c))).select("action", F.col("itemid").alias("position"), "request"),
+                LP.render_requests(LP.plan_release(load_records(c), known_revisions(c), now=F.lit(NOW))).select("action", F.concat_ws("/", "itemid", "revision").alias("position"), "request"),
+            ]),
+            REQUESTS_SQL,
+        ),
+        "L18_relation_requests": (
+            lambda c: load_plan(c).filter("relate").select("position", LP.relation_request(F.concat(F.lit("R:"), "itemid", F.lit("/"), "revision"), F.concat(F.lit("D:"), "itemid")).alias("request")),
+            PLAN + f"select position, 'FUNCTION createRelationship'||chr(9)||'FROMPUID R:'||itemid||'/'||revision||chr(9)||'TOPUID D:'||itemid||chr(9)||'RELATION IMAN_specification' as request from d where ({PLAN_ACTION}) in ('create_document','add_revision') and item_type='Documents' and ds_path is not null and ds_path like '%.%'",
         ),
         "F24_dataset_requests": (
             lambda c: LP.render_requests(load_plan(c)).filter("dataset_request is not null").select("position", "dataset_request"),
@@ -297,26 +325,33 @@ OPS["F26_log_line"] = (
 )
 OPS["F25_response_flags"] = (lambda c: LP.parse_responses(response_lines(c)).groupBy("ok", "released").agg(F.count("*").alias("n")), "select p_partkey%5<>0 as ok, p_size%2=0 as released, count(*) as n from part group by 1, 2")
 
+CONTRACT_SQL = " union all ".join(
+    f"select '{f.name}' as column_name, " + ("null::bigint" if f.name == "CHILD_GID_ID" else f"(select count({f.name.lower()}) from {{stg_bom}})") + " as filled"
+    for f in ST.contract("bomload").fields
+)
+
+
 # ---------------------------------------------------------------- staging
 def sheet(c, k, cols):
-    return c["part"].filter(f"p_partkey % {k} <> 0").selectExpr(*cols)
+    """All parts; every k-th has a key that only this sheet knows."""
+    return c["part"].selectExpr("*", f"{own_key(k)} as own_key").selectExpr(*cols)
 
 
 ops(
     {
         "L01_stage_union": (
             lambda c: ST.stage([sheet(c, 3, ["concat(' ', lower(p_name), ' ') as ` item id`", "p_brand as name", "'mfg ' as status", "'2020-01-31' as `rev date`"]), sheet(c, 5, ["p_name as `item id `", "p_brand as NAME", "'on hold' as Status", "'02/01/2020' as `rev date`", "p_type as kind"])]).df,
-            "select distinct upper(p_name) as ITEM_ID, p_brand as NAME, 'MFG' as STATUS, timestamp '2020-01-31' as REV_DATE, null as KIND from part where p_partkey%3<>0 union select upper(p_name), p_brand, 'On Hold', timestamp '2020-02-01', p_type from part where p_partkey%5<>0",
+            "select distinct upper(p_name) as ITEM_ID, p_brand as NAME, 'MFG' as STATUS, timestamp '2020-01-31' as REV_DATE, null as KIND from part union select upper(p_name), p_brand, 'On Hold', timestamp '2020-02-01', p_type from part",
         ),
         "L01_stage_join": (
-            lambda c: ST.stage({"a": sheet(c, 3, ["concat(p_partkey, '') as `tc id`", "p_name as name"]), "b": sheet(c, 5, ["concat(' ', p_partkey) as `TC ID`", "p_brand as name"])}, join_on=["tc id"]).df,
-            "select coalesce(a.p_partkey, b.p_partkey)::varchar as TC_ID, a.p_name as NAME_x, b.p_brand as NAME_y from (select * from part where p_partkey%3<>0) a full join (select * from part where p_partkey%5<>0) b on b.p_partkey=a.p_partkey",
+            lambda c: ST.stage({"a": sheet(c, 3, ["concat(own_key, '') as `tc id`", "p_name as name"]), "b": sheet(c, 5, ["concat(' ', own_key) as `TC ID`", "p_brand as name"])}, join_on=["tc id"]).df,
+            f"select coalesce(a.k, b.k)::varchar as TC_ID, a.p_name as NAME_x, b.p_brand as NAME_y from (select *, {own_key(3)} as k from part) a full join (select *, {own_key(5)} as k from part) b on b.k=a.k",
         ),
         "L02_clean": (lambda c: ST.clean(c["stg_doc"].select("doc_id", "name", "document_status", "path_location")), "select upper(trim(doc_id)) as DOC_ID, name as NAME, case lower(trim(document_status)) when 'active' then 'ACTIVE' when 'obsolete' then 'Obsolete' end as DOCUMENT_STATUS, path_location as PATH_LOCATION from {stg_doc}"),
         "L03_type_dates": (lambda c: ST.type_and_profile(c["orders"].select(F.col("o_orderkey").cast("string").alias("ID"), F.date_format("o_orderdate", "MM/dd/yyyy HH:mm:ss").alias("ORDER_DATE"), F.when(F.col("o_orderkey") % 7 == 0, "soon").otherwise("2020-01-01").alias("DUE_DATE"))).df, "select o_orderkey::varchar as ID, date_trunc('second', o_orderdate) as ORDER_DATE, case when o_orderkey%7=0 then 'soon' else '2020-01-01' end as DUE_DATE from orders"),
         "L04_clone": (lambda c: ST.clone(RD.load_rows(c["stg_docrel"].withColumn("loadidentifier", F.substring("doc_id", 12, 1)), "3")).df, "select distinct upper(trim(item_id)) as ITEM_ID, revision as REVISION, upper(trim(doc_id)) as DOC_ID, relationship_type as RELATIONSHIP_TYPE, '3' as LOADIDENTIFIER from {stg_docrel} where substr(doc_id,12,1)='3'"),
         "S03_clone_rows": (lambda c: RD.load_rows(c["stg_bom"].withColumn("loadidentifier", F.col("parent_revision")), "02"), "select *, parent_revision as loadidentifier from {stg_bom} where parent_revision='02'"),
-        "L22_contract": (lambda c: c["stg_bom"].agg(F.count("*").alias("rows"), F.lit(",".join(ST.check_contract(c["stg_bom"].drop("child_gid_id"), "bomload"))).alias("missing")), "select count(*) as rows, 'CHILD_GID_ID' as missing from {stg_bom}"),
+        "L22_contract": (lambda c: ST.contract_profile(c["stg_bom"].drop("child_gid_id"), "bomload"), CONTRACT_SQL),
     }
 )
 
@@ -341,21 +376,10 @@ def _site_rows(c):
     return status.join(U.union_by_name(counts), F.col("site") == F.col("_site"), "left").drop("_site")
 
 
-def _staged_packages(c):
-    """Packages in name order with their number of checks and of staged rows."""
-    listed = C.checks_frame(c["part"].sparkSession, list(PACKAGES.values())).groupBy("package_no", "package").agg(F.count("*").alias("checks"))
-    staged = [c[v].agg(F.count("*").alias("staged_rows")).select(F.lit(p).alias("_p"), "staged_rows") for p, v in SAMPLE_INPUTS.items()]
-    return listed.join(U.union_by_name(staged), F.col("package") == F.col("_p")).drop("_p")
-
-
 ops(
     {
         "L05_extract": (lambda c: E.extract(*site_slices(c)).df, "select distinct * from orders"),
         "S04_site_extract": (lambda c: E.extract(*site_slices(c), sites=["edm", "xyz", "sha"]).df, "select * from orders where o_orderkey%5 in (0,1,4)"),
-        "L05_extract_status": (
-            lambda c: _site_rows(c),
-            "select s.*, case when site='houstby' then null else (select count(*) from orders where o_orderkey%5 in (k,(k+1)%5)) end as n_rows from (values (1,'edm','ok',1,null,0),(2,'fra','ok',1,null,1),(3,'houstby','failed',1,'ORA-16000: database open for read-only access',2),(4,'nor','ok',1,null,3),(5,'sha','ok',1,null,4),(6,'houprod','ok',1,null,2)) s(position,site,status,attempts,message,k)".replace("s.*", "position, site, status, attempts, message"),
-        ),
         "S05_linked_table": (lambda c: c.with_tables(**{"pitem@shatc": c["pitem"].filter("puid like 'D%'")}).at("sha")["pitem"], "select * from {pitem} where puid like 'D%'"),
     }
 )
@@ -409,10 +433,6 @@ OPS["X02_sql_check"] = (
     lambda c: C.sql_check("Z1", "ISSUE", "Large parts", "select p_partkey, p_size from {chk} where p_size > :limit and p_brand in (select brand from {brands})", limit=40).frame(C.Context(c["part"], c)),
     "select p_partkey, p_size from part where p_size > 40",
 )
-OPS["X03_package_list"] = (
-    _staged_packages,
-    " union all ".join(f"select {i} as package_no, '{n}' as package, {len(PACKAGES[n].checks)} as checks, (select count(*) from {{{SAMPLE_INPUTS[n]}}}) as staged_rows" for i, n in enumerate(sorted(PACKAGES), start=1)),
-)
 OPS["V16_not_in_lov"] = (lambda c: S.not_in_lov(c["documents"], {"lang": "v"}, c["documents"].filter("lang in ('en', 'fr')").select(F.col("lang").alias("v")), "source"), "select lang, count(distinct source) as cnt from documents where lang not in ('en','fr') group by 1")
 OPS["V26_not_numeric"] = (lambda c: R.not_numeric("quantity").frame(c["stg_bom"]), "select * from {stg_bom} where quantity is not null and try_cast(quantity as decimal(38,10)) is null")
 OPS["V23_only_mismatch"] = (lambda c: L.contexts_contained(c["stg_supersede"], c["altid_all_site"], "sup_id", "sur_id", only_mismatch=True), f"select * from ({CHECK_SQL['E17']}) where is_nomatch=1")

@@ -14,12 +14,9 @@ from pyspark.sql import functions as F
 from sievemark.functions.text import _col
 from sievemark.operators.parts import named_columns
 
-# A key with this many rows is split over SALTS tasks. At most rows / HEAVY_KEY_ROWS keys can be
-# heavy, which bounds the broadcast set of heavy keys.
-HEAVY_KEY_ROWS = 5_000_000
-SALTS = 64
-# A list longer than this is given in several rows, each with a part of it, in order.
-LIST_BYTES = 1 << 20
+# A key is split into pieces of about this many rows. At most rows / PIECE_ROWS keys have more than one
+# piece, which bounds the broadcast set of heavy keys.
+PIECE_ROWS = 1_000_000
 
 
 def other_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -36,22 +33,23 @@ def same_keys(keys: Sequence[str]) -> Column:
 
 
 def join_key_statistic(
-    rows: DataFrame, statistic: DataFrame, keys: Sequence[str], weight: str, weights: DataFrame | None = None
+    rows: DataFrame, statistic: DataFrame, keys: Sequence[str], weight: str, weights: DataFrame | None = None, piece_rows: int | None = None
 ) -> DataFrame:
-    """Inner join of rows with one statistic row per key, NULL keys equal, heavy keys salted.
+    """Inner join of rows with one statistic row per key, NULL keys equal, heavy keys in pieces.
 
-    ``weight`` is the statistic column with the number of rows of the key. The salt depends only on
-    the row and its input partition, so a retried task sends every row to the same place again.
+    ``weight`` is the statistic column with the number of rows of the key; a key gets a piece for every
+    ``piece_rows`` of them, so pieces stay the same size however heavy it is. The piece of a row depends only
+    on the row and its input partition, so a retried task sends every row to the same place again.
     ``weights`` may name a cheaper frame with one row per key, needed if a key has several statistics.
     """
     keys, columns = list(keys), rows.columns
-    is_heavy = F.col(weight) >= HEAVY_KEY_ROWS
-    heavy = other_keys((statistic if weights is None else weights).filter(is_heavy).select(*keys, F.lit(True).alias("_heavy")), keys)
-    marked = rows.join(F.broadcast(heavy), same_keys(keys), "left").select(*columns, "_heavy")
-    spot = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in columns]), F.lit(SALTS)).cast("int")
-    salted = marked.select(*columns, F.when(F.col("_heavy"), spot).otherwise(F.lit(0)).alias("_salt"))
-    salts = F.when(is_heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    spread = other_keys(statistic.withColumn("_salt", F.explode(salts)), [*keys, "_salt"])
+    pieces = F.ceil(F.col(weight) / (piece_rows or PIECE_ROWS)).cast("int")
+    heavy = (statistic if weights is None else weights).withColumn("_pieces", pieces).filter("_pieces > 1")
+    heavy = other_keys(heavy.select(*keys, "_pieces"), keys)
+    marked = rows.join(F.broadcast(heavy), same_keys(keys), "left").select(*columns, "_pieces")
+    spot = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in columns]), F.col("_pieces")).cast("int")
+    salted = marked.select(*columns, F.coalesce(spot, F.lit(0)).alias("_salt"))
+    spread = other_keys(statistic.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(pieces - 1, F.lit(0))))), [*keys, "_salt"])
     extra = [c for c in statistic.columns if c not in keys]
     return salted.join(spread, same_keys([*keys, "_salt"]), "inner").select(*columns, *extra)
 
@@ -132,38 +130,19 @@ def multi_value_keys(df: DataFrame, key: Column | str, value: str, key_name: str
 def value_lists(
     df: DataFrame, keys: Sequence[str], value: str, name: str, order: Sequence[str] = (), sep=", ", copies: Column | None = None
 ) -> DataFrame:
-    """One ordered text list of the non-NULL values per key.
+    """One ordered text list of the non-NULL values per key, every copy of a value included.
 
-    Equal values are counted before they are listed, so a key with very many rows stays small. A
-    value that occurs so often that its repetitions alone pass ``LIST_BYTES`` is written
-    ``value (xN)``, and a longer list than that comes in several rows, in value order.
+    Equal values are counted before they are listed, so what moves is one row per distinct value of a key.
+    The list of a key is one text, which has to fit in a row.
     """
     keys, order = list(keys), list(order)
     n = F.count("*") if copies is None else F.sum(copies)
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, *order, F.col(value).alias("_v")).agg(n.alias("_n"))
-    width = F.octet_length("_v").cast("bigint") + len(sep)
     repeated = F.array_join(F.array_repeat(F.col("_v"), F.col("_n").cast("int")), sep)
-    entry = (
-        F.when(F.col("_n") == 1, F.col("_v"))
-        .when(width * F.col("_n") <= LIST_BYTES, repeated)
-        .otherwise(F.concat("_v", F.lit(" (x"), F.col("_n").cast("string"), F.lit(")")))
-    )
-    parts = counted.select(*keys, *order, "_v", entry.alias("_entry"))
     quoted = sep.replace("'", "''")
     within = ", ".join(f"`{c}` ASC NULLS LAST" for c in [*order, "_v"])
     listed = F.expr(f"listagg(_entry, '{quoted}') WITHIN GROUP (ORDER BY {within})").alias(name)
-    # At most total bytes / LIST_BYTES keys can have a longer list, which bounds the broadcast.
-    size = F.sum(F.octet_length("_entry").cast("bigint") + len(sep))
-    long = parts.groupBy(*keys).agg(size.alias("_size")).filter(F.col("_size") > LIST_BYTES).select(*keys)
-    long = other_keys(long, keys)
-    short_lists = parts.join(F.broadcast(long), same_keys(keys), "left_anti").groupBy(*keys).agg(listed)
-    ranged = parts.join(F.broadcast(long), same_keys(keys), "left_semi").repartitionByRange(*keys, *order, "_v")
-    ranged = ranged.withColumn("_range", F.spark_partition_id())
-    in_order = [F.asc_nulls_last(c) for c in [*order, "_v"]]
-    running = F.sum(F.octet_length("_entry").cast("bigint") + len(sep)).over(Window.partitionBy(*keys, "_range").orderBy(*in_order))
-    cut = ranged.withColumn("_cut", F.floor(running / LIST_BYTES))
-    long_lists = cut.groupBy(*keys, "_range", "_cut").agg(listed).drop("_range", "_cut")
-    return short_lists.unionByName(long_lists)
+    return counted.select(*keys, *order, "_v", repeated.alias("_entry")).groupBy(*keys).agg(listed)
 
 
 def multi_value_lists(df: DataFrame, key: str, value: str, count_name: str, list_name: str) -> DataFrame:

@@ -105,16 +105,19 @@ def revision_not_listed(joined: DataFrame, key: str, item: str, rev: str, new: s
     """Ids whose staged revision is not in the list of the item's revisions.
 
     The test is on the list text: ``1`` is found in ``10``, ``%`` and ``_`` in the staged revision are
-    wildcards and a NULL staged revision is always found. ``exact`` compares whole revisions.
+    wildcards, a text with the separator may span two revisions, and a NULL staged revision is always found.
+    ``exact`` compares the staged revision with each of the item's revisions instead.
     """
     pairs = joined.select(key, item, new).distinct()
-    lists = value_lists(joined, [item], rev, "rev_current")
-    listed = pairs.join(lists.withColumnRenamed(item, "_item"), F.col(item) == F.col("_item"))
+    lists = value_lists(joined, [item], rev, "rev_current").withColumnRenamed(item, "_item")
     if exact:
-        found = F.array_contains(F.split("rev_current", ", "), F.col(new))
+        known = joined.select(F.col(item).alias("_i"), F.col(rev).alias("_r")).distinct()
+        pairs = pairs.filter(F.col(new).isNotNull()).join(known, (F.col(item) == F.col("_i")) & (F.col(new) == F.col("_r")), "left_anti")
+        missing = pairs.join(lists, F.col(item) == F.col("_item"))
     else:
-        found = F.like("rev_current", F.concat(F.lit("%"), F.coalesce(F.col(new), F.lit("")), F.lit("%")))
-    return listed.filter(~found).select(key, "rev_current", F.col(new).alias("rev_new")).distinct()
+        text = F.concat(F.lit("%"), F.coalesce(F.col(new), F.lit("")), F.lit("%"))
+        missing = pairs.join(lists, F.col(item) == F.col("_item")).filter(~F.like("rev_current", text))
+    return missing.select(key, "rev_current", F.col(new).alias("rev_new")).distinct()
 
 
 def not_in_majority(joined: DataFrame, population: DataFrame, attr: str, show: Sequence[str | Column]) -> DataFrame:

@@ -54,8 +54,10 @@ def extract(
     """Union of the rows of all sites, equal rows once, and what happened at each site.
 
     A site that cannot be opened is skipped; errors in ``retry_on`` are tried again from one budget
-    that all sites share. The sites' partitions are read side by side in one job.
+    that all sites share. A site whose fallback has answered is ``replaced``, which is no failure. The sites'
+    partitions are read side by side in one job.
     """
+    stands_in: dict[str, str] = {}
     queue = list(ALL_SITES) if sites == "all" else [sites] if isinstance(sites, str) else list(sites)
     frames: list[DataFrame] = []
     status: dict[str, tuple[str, int, str | None]] = {}
@@ -71,6 +73,8 @@ def extract(
             frame.schema  # opens the connection
             frames.append(frame)
             status[site] = ("ok", attempts, None)
+            if site in stands_in:
+                status[stands_in[site]] = ("replaced", *status[stands_in[site]][1:])
         except Exception as e:  # noqa: BLE001 - a failing site must not stop the others
             text = str(e).split("\n")[0]
             status[site] = ("failed", attempts, text)
@@ -81,7 +85,8 @@ def extract(
                     queue.insert(0, site)
             elif site in fallback and fallback[site][0] in text:
                 queue.append(fallback[site][1])
-    failed = [s for s, (state, _, _) in status.items() if state != "ok"]
+                stands_in[fallback[site][1]] = site
+    failed = [s for s, (state, _, _) in status.items() if state not in ("ok", "replaced")]
     if not frames or (strict and failed):
         raise ExtractFailed(f"no data from {', '.join(failed) or 'any site'}")
     rows = [(i, s, *v) for i, (s, v) in enumerate(status.items(), start=1)]

@@ -13,14 +13,16 @@ from sievemark.operators.keyed import join_key_statistic, other_keys, same_keys
 
 # Record fields of a part and of a document file.
 PART_FIELDS = (
-    "itemid name description revision item_type rsone_itemtype rsone_uom rsone_uow rev_weight name2 part_sub_type "
-    "lifecycle rev_status rev_sites rev_comments uom nov4_mis_type nov4_mis_serialize nov4_height nov4_length nov4_width "
-    "nov4_lwhunits nov4_volume nov4_volunits nov4_weight nov4_weightunits date_created date_released"
-).split()
+    "itemid", "name", "description", "revision", "item_type", "rsone_itemtype", "rsone_uom", "rsone_uow",
+    "rev_weight", "name2", "part_sub_type", "lifecycle", "rev_status", "rev_sites", "rev_comments", "uom",
+    "nov4_mis_type", "nov4_mis_serialize", "nov4_height", "nov4_length", "nov4_width", "nov4_lwhunits", "nov4_volume",
+    "nov4_volunits", "nov4_weight", "nov4_weightunits", "date_created", "date_released",
+)
 DOCUMENT_FIELDS = (
-    "itemid name description revision item_type doc_category doc_type sequence sheet_no publish_toweb publish_topp "
-    "pull_drawing ds_path ds_name rev_sites lifecycle rev_status rev_comments date_created date_released"
-).split()
+    "itemid", "name", "description", "revision", "item_type", "doc_category", "doc_type", "sequence", "sheet_no",
+    "publish_toweb", "publish_topp", "pull_drawing", "ds_path", "ds_name", "rev_sites", "lifecycle", "rev_status",
+    "rev_comments", "date_created", "date_released",
+)
 FIELDS = {"part": PART_FIELDS, "document": DOCUMENT_FIELDS}
 
 DOCUMENT_TYPE, PART_TYPE = "Documents", "Nov4Part"
@@ -91,6 +93,15 @@ def invalid_columns(df: DataFrame, kind: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in FIELDS[kind]]
 
 
+def filled_invalid_fields(df: DataFrame, kind: str) -> DataFrame:
+    """(field, filled): each column that is no record field, with the number of rows that have a value in it."""
+    bad = invalid_columns(df, kind)
+    if not bad:
+        return df.select(F.lit("").alias("field"), F.lit(0).cast("bigint").alias("filled")).limit(0)
+    counts = df.agg(*[F.count(c).alias(c) for c in bad])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("filled")) for c in bad])).alias("f")).select("f.*")
+
+
 def with_fields(rec: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Missing fields added as NULL, blanks as NULL."""
     have = {c.lower() for c in rec.columns}

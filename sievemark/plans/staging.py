@@ -136,3 +136,11 @@ def check_contract(df: DataFrame, kind: str) -> list[str]:
     """Columns the kind expects and the table lacks."""
     have = {c.upper() for c in df.columns}
     return [f.name for f in contract(kind).fields if f.name not in have]
+
+
+def contract_profile(df: DataFrame, kind: str) -> DataFrame:
+    """(column_name, filled): each expected column with the number of rows that fill it, NULL if the table lacks it."""
+    lacking = set(check_contract(df, kind))
+    names = [f.name for f in contract(kind).fields]
+    counts = df.agg(*[(F.lit(None).cast("bigint") if c in lacking else F.count(c)).alias(c) for c in names])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in names])).alias("c")).select("c.*")

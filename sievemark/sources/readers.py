@@ -22,8 +22,11 @@ def all_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
-def read_inputs(spark: SparkSession, paths: Mapping[str, str], fmt: str = "csv", names: Sequence[str] | str = "all") -> dict[str, DataFrame]:
-    """Named inputs, all cells as text; ``names`` selects some by name or by position from 0."""
+def read_inputs(spark: SparkSession, paths: Mapping[str, str], fmt: str = "csv", names: Sequence[str] | str = "all", multi_line: bool = False) -> dict[str, DataFrame]:
+    """Named inputs, all cells as text; ``names`` selects some by name or by position from 0.
+
+    ``multi_line`` is for cells with line ends in them; such a csv file cannot be split between tasks.
+    """
     keys = list(paths)
     if names != "all":
         wanted = [names] if isinstance(names, str) else list(names)
@@ -32,7 +35,7 @@ def read_inputs(spark: SparkSession, paths: Mapping[str, str], fmt: str = "csv",
     for key in keys:
         reader = spark.read.format(fmt)
         if fmt == "csv":
-            reader = reader.option("header", "true").option("multiLine", "true").option("escape", '"')
+            reader = reader.option("header", "true").option("multiLine", str(multi_line).lower()).option("escape", '"')
         elif fmt == "json":
             reader = reader.option("primitivesAsString", "true")
         out[key] = all_text(reader.load(paths[key]))
@@ -50,9 +53,9 @@ def load_rows(df: DataFrame, load_id: str) -> DataFrame:
     return df.filter(F.col(LOAD_ID) == load_id)
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Record file with heading: names in small letters, all text, blank cells NULL."""
-    raw = spark.read.option("header", "true").option("escape", '"').option("multiLine", "true").option("encoding", "UTF-8").csv(path)
+def read_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Record file with heading: names in small letters, all text, blank cells NULL; ``multi_line`` as above."""
+    raw = spark.read.option("header", "true").option("escape", '"').option("multiLine", str(multi_line).lower()).option("encoding", "UTF-8").csv(path)
     return records(raw)
 
 
@@ -90,12 +93,11 @@ def service_file_name(c):
 
 
 def newest_file(spark: SparkSession, folder: str, fmt: str = "csv", schema=None) -> DataFrame:
-    """Rows of the most recently changed file of a folder; ties go to the larger path."""
-    reader = spark.read.format(fmt).option("recursiveFileLookup", "true")
-    if fmt == "csv":
-        reader = reader.option("header", "true")
-    df = (reader.schema(schema) if schema is not None else reader).load(folder)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    newest = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("newest"))
-    rows = df.select("*", F.col("_metadata.file_path").alias("_path"))
-    return rows.join(F.broadcast(newest), F.col("_path") == F.col("newest"), "left_semi").drop("_path")
+    """Rows of the most recently changed file of a folder; ties go to the larger path.
+
+    Names and times are listed without reading a file; only the newest one is then read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "modificationTime")
+    newest = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("newest")).first()["newest"]
+    reader = spark.read.format(fmt).option("header", "true") if fmt == "csv" else spark.read.format(fmt)
+    return (reader.schema(schema) if schema is not None else reader).load(newest if newest is not None else folder)

@@ -78,8 +78,8 @@ _PATH = (
 _DOC_CREATED = "make_date(cast(1990+d.doc_id%30 as int),cast(1+d.doc_id%12 as int),cast(1+d.doc_id%28 as int))"
 
 VIEWS["stg_doc"] = f"""
-select case when d.doc_id%41=0 then concat(' ',{_D},' ') when d.doc_id%42=1 then concat({_D},'/~',repeat('9',60)) else {_D} end as doc_id, case when d.doc_id%33=0 then null else substr(d.text,1,80) end as name,
-  case when d.doc_id%34=0 then null else substr(d.text,1,400) end as description,
+select case when d.doc_id%41=0 then concat(' ',{_D},' ') when d.doc_id%42=1 then concat({_D},'/~',repeat('9',60)) else {_D} end as doc_id, case when d.doc_id%33=0 then null else d.text end as name,
+  case when d.doc_id%34=0 then null else d.text end as description,
   case when d.doc_id%35=0 then null when d.doc_id%36=0 then 'b-1' else cast(d.n_chars%4 as string) end as revision,
   case when d.doc_id%4<>0 then 'Released' end as revision_status,
   case when d.doc_id%10<>0 then {_DOC_CREATED} end as rev_creation_date,
@@ -91,12 +91,12 @@ select case when d.doc_id%41=0 then concat(' ',{_D},' ') when d.doc_id%42=1 then
   concat('Brand#',cast(d.doc_id%30+1 as string)) as owninggroup
 from {{documents}} d
 union all
-select lower({_D}), substr(d.text,1,80), substr(d.text,1,400), cast((d.n_chars+d.doc_id%2)%4 as string), 'Released', {_DOC_CREATED},
+select lower({_D}), d.text, d.text, cast((d.n_chars+d.doc_id%2)%4 as string), 'Released', {_DOC_CREATED},
   make_date(2010,1,1), 'Active', upper(substr(d.source,1,3)), case when d.doc_id%12=0 then 'xx' else d.lang end,
   concat('DS-',cast(d.doc_id as string)), {_PATH}, concat('Brand#',cast(d.doc_id%30+1 as string))
 from {{documents}} d where d.doc_id%6=0
 union all
-select {_D}, substr(d.text,1,80), substr(d.text,1,400), 'Z', 'Released', {_DOC_CREATED}, null, 'Active', upper(substr(d.source,1,3)), d.lang,
+select {_D}, d.text, d.text, 'Z', 'Released', {_DOC_CREATED}, null, 'Active', upper(substr(d.source,1,3)), d.lang,
   concat('DS-',cast(d.doc_id as string)), {_PATH}, concat('Brand#',cast(d.doc_id%30+1 as string))
 from {{documents}} d where d.doc_id%15=2
 """
@@ -123,33 +123,33 @@ from {{lineitem}} l join {{part}} a on a.p_partkey=l.l_suppkey join {{part}} c o
 
 VIEWS["stg_supersede"] = f"""
 select {_part_id("a")} as sup_id, {_part_id("b")} as sur_id, case when a.p_partkey%2=0 then concat('DOC-',lpad(cast(a.p_partkey%100 as string),8,'0')) end as rdd_id
-from {{part}} a join {{part}} b on b.p_partkey=a.p_partkey+1 where a.p_partkey%3=0
+from {{part}} a join {{part}} b on b.p_partkey=a.p_partkey+1
 union all
 select {_part_id("a")}, {_part_id("b")}, 'DOC-00000000'
 from {{part}} a join {{part}} b on b.p_partkey=a.p_partkey+2 where a.p_partkey%30=0
 union all
 select {_doc_id("a")}, {_doc_id("b")}, null
-from {{documents}} a join {{documents}} b on b.doc_id=a.doc_id+1 where a.doc_id%7=2
+from {{documents}} a join {{documents}} b on b.doc_id=a.doc_id+1
 """
 
 VIEWS["stg_status"] = f"""
 select {_P} as tc_id, case when p.p_partkey%2=0 or p.p_partkey%5=1 then 'ACTIVE' when p.p_partkey%3=0 then 'PHASE OUT' else 'OBSOLETE' end as status_new,
   case when p.p_partkey%3<>0 then concat('DOC-',lpad(cast(p.p_partkey%300 as string),8,'0')) end as rdd_id
-from {{part}} p where p.p_partkey%4<>2
+from {{part}} p
 union all
 select {_P}, 'ACTIVE', concat('DOC-',lpad(cast(p.p_partkey%300 as string),8,'0')) from {{part}} p where p.p_partkey%20=4
 union all
-select {_D}, 'ACTIVE', null from {{documents}} d where d.doc_id%3=2
+select {_D}, 'ACTIVE', null from {{documents}} d
 """
 
 VIEWS["stg_owner"] = f"""
 select {_P} as tc_id, case when p.p_partkey%4=0 then 'Brand#1.Old' else concat(p.p_brand,'.Sub') end as grp_old,
   concat('Brand#',cast(p.p_partkey%5+1 as string)) as grp_new
-from {{part}} p where p.p_partkey%4<>2
+from {{part}} p
 union all
 select {_P}, p.p_brand, 'Brand#3' from {{part}} p where p.p_partkey%40=8
 union all
-select {_D}, concat('Brand#',cast(d.doc_id%25+1 as string)), 'Brand#2' from {{documents}} d where d.doc_id%3=2
+select {_D}, concat('Brand#',cast(d.doc_id%25+1 as string)), 'Brand#2' from {{documents}} d
 """
 
 VIEWS["stg_namedesc"] = """
@@ -161,14 +161,14 @@ select upper(s.tc_id), s.name, s.name2 || chr(9), s.description from {stg_item}
 # ---------------------------------------------------------------- master tables
 
 VIEWS["mst_item"] = f"""
-select concat('I',cast(p.p_partkey as string)) as puid, {_P} as item_id, p.p_partkey as k, 0 as is_doc,
+select concat('I',cast(p.p_partkey as string)) as puid, case when p.p_partkey%10=7 then concat('OLD-',{_P}) else {_P} end as item_id, p.p_partkey as k, 0 as is_doc,
   case when p.p_partkey%41<>0 then p.p_brand end as grp, p.p_brand as owner_grp, p.p_name as nm, concat(p.p_type,' ',p.p_name) as ds,
   p.p_type as uom, cast(p.p_size as bigint) as sz
-from {{part}} p where p.p_partkey%10<>7
+from {{part}} p
 union all
-select concat('D',cast(d.doc_id as string)), {_D}, d.doc_id, 1, concat('Brand#',cast(d.doc_id%25+1 as string)),
-  concat('Brand#',cast(d.doc_id%25+1 as string)), substr(d.text,1,60), substr(d.text,1,240), null, d.n_chars
-from {{documents}} d where d.doc_id%20<>7
+select concat('D',cast(d.doc_id as string)), case when d.doc_id%20=7 then concat('OLD-',{_D}) else {_D} end, d.doc_id, 1, concat('Brand#',cast(d.doc_id%25+1 as string)),
+  concat('Brand#',cast(d.doc_id%25+1 as string)), d.text, d.text, null, d.n_chars
+from {{documents}} d
 """
 
 VIEWS["mst_rev"] = """
@@ -377,7 +377,7 @@ VIEWS["ppsoccurrence"] = """
 select concat('BR',cast(l.l_suppkey as string),'-',cast(l.l_linenumber as string)) as rparent_bvru, concat('I',cast(l.l_partkey as string)) as rchild_itemu,
   l.l_quantity+l.l_discount/7 as pqty_value, cast(l.l_linenumber as string) as pseq_no,
   case when l.l_partkey%3<>0 then concat('N',cast(l.l_partkey as string)) end as rnotes_refu
-from {lineitem} l where l.l_suppkey%3<>1
+from {lineitem} l
 """
 
 VIEWS["ppsoccurrencenotes"] = """

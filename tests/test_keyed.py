@@ -25,7 +25,7 @@ def skewed(spark):
 @pytest.fixture(params=[5_000_000, 50, 2])
 def heavy(request, monkeypatch):
     """With the real bound no key is heavy here, with the small ones many are."""
-    monkeypatch.setattr(N, "HEAVY_KEY_ROWS", request.param)
+    monkeypatch.setattr(N, "PIECE_ROWS", request.param)
     return request.param
 
 
@@ -77,21 +77,20 @@ def test_value_lists_hold_every_copy_in_order(skewed):
     assert rows(N.value_lists(df, ["k"], "v", "l")) == sorted(((k, ", ".join(sorted(v))) for k, v in lists.items()), key=repr)
 
 
-def test_long_lists_come_in_parts_and_stay_whole(skewed, monkeypatch):
-    data, df = skewed
-    monkeypatch.setattr(N, "LIST_BYTES", 12)
-    parts = collections.defaultdict(list)
-    for k, text in N.value_lists(df.withColumn("v", F.lpad(F.col("i").cast("string"), 4, "0")), ["k"], "v", "l", sep=",").collect():
-        parts[k].append(text)
-    assert len(parts["HOT"]) > 1
-    for k, texts in parts.items():
-        assert ",".join(sorted(texts)) == ",".join(sorted(f"{i:04d}" for i, kk, _ in data if kk == k))
-
-
-def test_very_frequent_value_is_written_with_its_count(spark, monkeypatch):
-    monkeypatch.setattr(N, "LIST_BYTES", 30)
-    df = spark.createDataFrame([("a", "x")] * 20 + [("b", "y")] * 2, "k string, v string")
-    assert rows(N.value_lists(df, ["k"], "v", "l")) == [("a", "x (x20)"), ("b", "y, y")]
+def test_one_list_per_key_whatever_its_length(spark):
+    many = [("a", f"{i:05d}") for i in range(40_000)] + [("b", "x" * 100)] * 20_000 + [("c", "y"), ("c", "y")]
+    df = spark.createDataFrame(many, "k string, v string")
+    assert rows(N.value_lists(df, ["k"], "v", "l")) == [
+        ("a", ", ".join(f"{i:05d}" for i in range(40_000))), ("b", ", ".join(["x" * 100] * 20_000)), ("c", "y, y")
+    ]
+    assert [r[0] for r in rows(N.multi_value_lists(df, "k", "v", "n", "l"))] == ["a"]
+
+
+def test_long_lists_report_no_known_revision(spark):
+    data = [("d", 1, f"{i:03d}", new) for i in range(900) for new in ("000", "450", "899", "zz")] + [("e", 2, "07", "07")] * 400
+    df = spark.createDataFrame(data, "doc string, item int, rev string, new string")
+    for exact in (False, True):
+        assert [(r[0], r[2]) for r in rows(S.revision_not_listed(df, "doc", "item", "rev", "new", exact=exact))] == [("d", "zz")]
 
 
 def test_versions_same_date_counts_distinct_versions(spark):

@@ -43,7 +43,7 @@ def make(rnd, n):
 
 
 def test_plan_equals_sequential_load(spark, monkeypatch):
-    monkeypatch.setattr(N, "HEAVY_KEY_ROWS", 20)
+    monkeypatch.setattr(N, "PIECE_ROWS", 20)
     rnd = random.Random(11)
     records = make(rnd, 300)
     items = [f"i{k}" for k in range(0, 25, 3)]

@@ -18,7 +18,8 @@ def plan(df):
 def test_every_query_has_a_name_of_its_own_and_sql_where_possible():
     queries, sql = entry.queries(), entry.oracle_sql()
     assert len(queries) > 380 and set(sql) <= set(queries)
-    assert set(queries) - set(sql) <= {"S13_finished_checks"}
+    # Only the training-data operators, where installed, have queries that SQL cannot say.
+    assert all(re.match(r"op\d+_|pipeline$", name) for name in set(queries) - set(sql))
 
 
 @pytest.mark.parametrize("package", sorted(PACKAGES))
