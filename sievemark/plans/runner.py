@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
-import re
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -119,23 +117,62 @@ def run_package(
     for members in parts.values():
         for check_id, part in members:
             rows = counts.get(check_id)
-            text = _definition(part.frame(ctx.base(part.over)))
+            text = _definition(part.frame(ctx.base(part.over))) if rows is not None else None
             done[check_id] = CheckResult(by_id[check_id], rows, None if rows is not None else "check failed", text)
     for check_id, text in errors.items():
         done[check_id] = CheckResult(by_id[check_id], None, text)
     run.results = [done[c.id] for c in checks]
     if output is not None:
-        fused = fused_results(ctx, {o: [m for m in ms if counts.get(m[0]) is not None] for o, ms in parts.items()})
-        if fused is not None:
-            sinks.write_fused_reports(fused, output)
+        for check_id, text in _write_parts(ctx, parts, counts, output).items():
+            run.results = [CheckResult(r.check, None, text) if r.check.id == check_id else r for r in run.results]
         sinks.write_manifest(chk.sparkSession, output, [(r.check.id, r.check.name, r.rows, r.definition) for r in run.results])
     return run
 
 
+def _write_parts(ctx: Context, parts: dict[str, list[tuple[str, R.Part]]], counts: dict[str, int | None], output: str) -> dict[str, str]:
+    """Writes the rows of all good parts in one job; if that fails, those of each part. Returns the errors of bad ones."""
+    good = {o: [m for m in ms if counts.get(m[0]) is not None] for o, ms in parts.items()}
+    errors = {}
+
+    def write(some):
+        fused = fused_results(ctx, some)
+        if fused is not None:
+            sinks.write_fused_reports(fused, output)
+
+    try:
+        write(good)
+    except Exception:  # noqa: BLE001 - found below
+        for over, members in good.items():
+            for member in members:
+                try:
+                    write({over: [member]})
+                except Exception as e:  # noqa: BLE001 - recorded as a failed check
+                    errors[member[0]] = str(e).split("\n")[0]
+    return errors
+
+
+def _measure_counts(ctx: Context, parts: dict[str, list[tuple[str, R.Part]]]) -> dict[str, int | None]:
+    """Rows of the measures, one each, with all their values computed; a measure that fails has none."""
+    measures = {o: [m for m in ms if isinstance(m[1], R.Measure)] for o, ms in parts.items()}
+    out: dict[str, int | None] = {i: 1 for ms in measures.values() for i, _ in ms}
+    try:
+        fused = fused_results(ctx, measures) if out else None
+        if fused is not None:
+            fused.collect()
+    except Exception:  # noqa: BLE001 - each alone, so that only bad ones fail
+        for members in measures.values():
+            for check_id, part in members:
+                try:
+                    out[check_id] = len(part.frame(ctx.base(part.over)).collect())
+                except Exception:  # noqa: BLE001
+                    out[check_id] = None
+    return out
+
+
 def _part_counts(ctx: Context, parts: dict[str, list[tuple[str, R.Part]]]) -> dict[str, int | None]:
     """Counts of all parts in one job; if that job fails, each part alone, so that only bad ones fail."""
     out: dict[str, int | None] = {i: 0 for ms in parts.values() for i, _ in ms}
-    out |= {i: 1 for ms in parts.values() for i, p in ms if isinstance(p, R.Measure)}
+    measured = _measure_counts(ctx, parts)
     try:
         fused = fused_counts(ctx, parts)
         if fused is not None:
@@ -147,7 +184,7 @@ def _part_counts(ctx: Context, parts: dict[str, list[tuple[str, R.Part]]]) -> di
                     out[check_id] = part.frame(ctx.base(part.over)).count()
                 except Exception:  # noqa: BLE001
                     out[check_id] = None
-    return out
+    return out | measured
 
 
 def summary(package: Package, chk: DataFrame, refs: Mapping[str, DataFrame] | None = None, **params) -> DataFrame:
@@ -166,11 +203,3 @@ def finished_checks(checks: DataFrame, log: DataFrame, table_name: str, since: d
 def input_lines(df: DataFrame, column: str = "inp") -> DataFrame:
     """The request lines of a delta check, the single column of a load input file."""
     return df.select(F.col(column).alias("INPUT")).filter(F.col("INPUT").isNotNull())
-
-
-def report_name(check: Check, rows: int) -> str:
-    return re.sub(r"[^\w .()-]+", "_", f"{check.name} - Rows {rows}")
-
-
-def result_json(run: PackageRun) -> str:
-    return json.dumps({r.check.id: r.rows for r in run.results})

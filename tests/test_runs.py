@@ -121,3 +121,16 @@ def test_repeated_relation_check_is_literal_unless_fixed(spark):
     df = spark.createDataFrame([("i", "1", "d", "RelatedDocuments")] * 2, "item_id string, revision string, doc_id string, relationship_type string")
     assert p.check("C07").frame(p.context(df)).count() == 0
     assert rows(p.check("C07").frame(p.context(df, fixed=True)))[0][-1] == 2
+
+
+@pytest.mark.parametrize("written", [False, True])
+def test_a_measure_that_fails_when_it_runs_is_logged_as_failed(spark, tmp_path, written):
+    chk = spark.createDataFrame([("1",), ("x",)], "v string")
+    checks = (
+        C.Check("Z1", "INFO", "Sum", lambda c: R.Measure({"total": F.sum(F.col("v").cast("int"))})),
+        C.Check("Z2", "INFO", "Rows", lambda c: R.row_count()),
+    )
+    p = C.Package("demo", ["v"], checks)
+    run = RU.run_package(p, chk, table_name="t", now=NOW, output=str(tmp_path / "out") if written else None)
+    assert run.rows() == {"Z1": None, "Z2": 1}
+    assert [r["result"] for r in run.log_frame(spark).orderBy("seq").collect()] == [None, 1.0]
