@@ -21,14 +21,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.llm.common import append_columns, flat_rows, hashed_sample
+from sievemark.llm.common import append_columns, array_rows, flat_rows, hashed_sample
+from sievemark.session import cut_lineage
 
 ALPHABET = 64
 SPAN = 6  # longest stretch over which a subsequence is counted
 DECAY = 0.6
 WIDTH = 24  # longer words are read in overlapping stretches
 SAMPLE_TEXTS = 3000  # labelled texts per label
-MARKERS, ORDINARY, LANDMARKS = 1500, 6000, 160
+MARKERS, ORDINARY, HARD, LANDMARKS = 1500, 6000, 3000, 160
 MAX_WORDS = 600_000  # words whose value a task remembers
 OFFSETS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 WORD = re.compile(r"\S+")
@@ -90,7 +91,7 @@ def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
     return out
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 400, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 1500, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """Squared-hinge linear SVM by full-batch Adam."""
     theta = np.zeros(x.shape[1] + 1)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
@@ -186,10 +187,14 @@ def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic",
     words = flat_rows(sample, ["_y", "_text"], "w string, y int", make).groupBy("w").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good"))
     # Share of toxic texts among those with the word, counted evenly for both labels and drawn to one half.
     lift = (F.col("bad") / used[1]) / (F.col("bad") / used[1] + (F.col("good") + 1) / used[0])
-    seen = words.withColumn("lift", lift).withColumn("n", F.col("bad") + F.col("good"))
+    seen = cut_lineage(words.withColumn("lift", lift))
     markers = seen.filter((F.col("bad") >= 4) & (F.col("lift") > 0.75)).orderBy(F.desc(F.col("bad") * F.col("lift")), "w").limit(MARKERS).select("w", "bad").collect()
     plain = seen.filter((F.col("good") >= 2) & (F.col("lift") < 0.65)).orderBy(F.xxhash64("w")).limit(ORDINARY).select("w").collect()
-    model = _train([r[0] for r in markers], [float(r[1]) for r in markers], [r[0] for r in plain])
+    signs, hits = [r[0] for r in markers], [float(r[1]) for r in markers]
+    first = _train(signs, hits, [r[0] for r in plain])
+    # Ordinary words that the first machine takes for toxic ones train the second, too.
+    hard = _most_toxic(seen.filter((F.col("good") >= 2) & (F.col("lift") < 0.6)), first).limit(HARD).select("w").collect()
+    model = _train(signs, hits, list(dict.fromkeys([r[0] for r in hard] + [r[0] for r in plain])))
     shared = spark.sparkContext.broadcast(model)
 
     def make_values():
@@ -208,19 +213,32 @@ def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic",
     return model
 
 
+def _most_toxic(words: DataFrame, model: ToxicModel) -> DataFrame:
+    shared = words.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        def run(found):
+            return [found, shared.value.words(found)] if found else [[], []]
+
+        return run
+
+    return array_rows(words, ["w"], "w string, value double", make).orderBy(F.desc("value"), "w")
+
+
 def _train(markers: list[str], hits: list[float], plain: list[str]) -> ToxicModel:
     if not markers or not plain:
         return ToxicModel(np.zeros(ALPHABET**3, np.float32), 0.0, (0.0, 0.0, 0.0))
     # Landmarks: the most frequent marker words, and ordinary words for contrast.
     step = max(1, len(markers) // (LANDMARKS // 2))
-    chosen = list(dict.fromkeys(markers[: LANDMARKS // 4] + markers[::step] + plain[: LANDMARKS // 2]))[: LANDMARKS + LANDMARKS // 2]
+    every = max(1, len(plain) // (LANDMARKS // 2))
+    chosen = list(dict.fromkeys(markers[: LANDMARKS // 4] + markers[::step] + plain[::every]))[: LANDMARKS + LANDMARKS // 2]
     vectors = explicit(chosen)
     values, basis = np.linalg.eigh((vectors @ vectors.T).astype(float))
     kept = values > 1e-4 * values[-1]
     root = basis[:, kept] / np.sqrt(values[kept])  # Nyström: k(x) @ root are the mapped coordinates
     x = kernel(markers + plain, vectors) @ root
     y = np.concatenate([np.ones(len(markers)), -np.ones(len(plain))])
-    w = np.concatenate([np.sqrt(hits), np.ones(len(plain))])
+    w = np.concatenate([hits, np.ones(len(plain))])
     for label in (1, -1):
         w[y == label] /= w[y == label].mean()
     v, bias = linear_svm(x, y, w)
