@@ -312,6 +312,7 @@ def near_copies(seed=3):
 def test_join_equals_all_pairs(spark, monkeypatch, team, block, cell):
     monkeypatch.setattr(ngram_join, "TEAM", team)
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "FINE_BLOCK", block)
     monkeypatch.setattr(ngram_join, "CELL", cell)
     rows = near_copies()
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit(1))
