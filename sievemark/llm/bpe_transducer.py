@@ -28,8 +28,8 @@ from sievemark.llm.common import append_columns, module_cache
 # The characters with the Unicode property White_Space.
 WHITE_SPACE = "\t\n\v\f\r \x85\xa0                　"
 ROOT = 0
-MAX_STATES = 300_000
-MAX_CHUNKS = 300_000
+MAX_STATES = 150_000
+MAX_CHUNKS = 200_000
 
 
 class BpeTransducer:
@@ -259,27 +259,28 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
 
 
-def transducer(path: str | None = None, pattern: str | None = None) -> BpeTransducer:
+def transducer(path: str | None = None, pattern: str | None = None, states: int = MAX_STATES, chunks: int = MAX_CHUNKS) -> BpeTransducer:
     """The transducer of a rank file; built once per Python worker. The vocabulary is a fixed file of the installation."""
     import public_tokenizers
 
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     pattern = pattern or public_tokenizers.PATTERN
     cache = module_cache("bpe")
-    if (path, pattern) not in cache:
+    key = (path, pattern, states, chunks)
+    if key not in cache:
         with open(path, "rb") as f:
-            cache[path, pattern] = BpeTransducer(read_ranks(f.read()), pattern)
-    return cache[path, pattern]
+            cache[key] = BpeTransducer(read_ranks(f.read()), pattern, states, chunks)
+    return cache[key]
 
 
 DECODE_PIECE = 4096
 
 
-def bpe_encode(df: DataFrame, text: str = "text", path: str | None = None, ids: str = "ids", n_tokens: str = "n_tokens") -> DataFrame:
-    """The rows with the token ids and their number."""
+def bpe_encode(df: DataFrame, text: str = "text", path: str | None = None, ids: str = "ids", n_tokens: str = "n_tokens", states: int = MAX_STATES, chunks: int = MAX_CHUNKS) -> DataFrame:
+    """The rows with the token ids and their number; ``states`` and ``chunks`` bound what a worker remembers."""
 
     def make():
-        t = transducer(path)
+        t = transducer(path, states=states, chunks=chunks)
 
         def run(texts):
             out = [t.encode(x) for x in texts]

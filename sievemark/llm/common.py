@@ -51,8 +51,8 @@ def append_columns(
     return sent.mapInArrow(run, schema)
 
 
-def _pieces(b: pa.RecordBatch, kept: int, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of about 16 MB each, so that Python objects of one slice stay bounded; one row at least."""
+def _pieces(b: pa.RecordBatch, kept: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of about 4 MB each, so that Python objects of one slice stay bounded; one row at least."""
     rows = max(1, int(b.num_rows * most / max(b.nbytes, 1)))
     for start in range(0, b.num_rows, rows):
         yield b.slice(start, rows)
