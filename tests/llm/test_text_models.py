@@ -59,6 +59,21 @@ def test_grammar_learns_a_format_and_leaves_words():
     assert not any(model.secret(w) for w in words[100:] + hosts[25:])
 
 
+def test_many_unlabelled_keys_of_a_labelled_format_are_found(spark):
+    r = random.Random(4)
+    key = lambda: "sk_" + "".join(r.choice("0123456789abcdef") for _ in range(18))
+    card = lambda: "4" + "".join(r.choice("0123456789") for _ in range(15))
+    word = lambda: "".join(r.choice(("tion", "er", "the", "an", "ness", "al")) for _ in range(8))
+    free = [key() for _ in range(1500)]
+    texts = [f"token = {key()} for {word()}" for _ in range(150)] + [f"it says {k} here" for k in free]
+    plain = [f"paid with {card()} by mail{i}.example.com or {word()}" for i in range(60)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts + plain)], "doc_id long, text string")
+    spans = {x.doc_id: x.spans for x in secret_grammar.secret_digests(df).collect()}
+    found = [spans[i] == f"format:8:{8 + len(free[0])}" for i in range(150, 1650)]
+    assert np.mean(found) > 0.95
+    assert not any(spans[i] for i in range(1650, 1710))
+
+
 def test_secrets_of_odd_rows(spark, odd):
     out = secret_grammar.secret_digests(odd).collect()
     assert len(out) == len(ODD) and all(r.spans == "" for r in out)
