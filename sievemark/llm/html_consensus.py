@@ -2,8 +2,8 @@
 
 Every page scores its containers by the text that is theirs and no link, and votes for the generalised path
 (tags with classes, numbers taken out) of the best one. Votes are counted per host on Spark; each page is
-then read again and gives the text of the containers on the winning path of its host, or of its own best one
-if it has none there. Navigation, advertising, forms, comments and the like are left out in both passes.
+then read again and gives the text of the article around the containers on the winning path of its host, or around
+its own best one if it has none there. Navigation, advertising, forms, comments and the like are left out in both passes.
 
 A null or empty page has empty text; a page without url votes with all others without one. Rows are
 independent but for the votes, repeated rows vote each. Ties between paths go to more text, then to the
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterable
 from html import unescape
 from urllib.parse import urlsplit
 
@@ -135,8 +136,12 @@ def blocks(html: str):
 
 def best_path(html: str | None) -> tuple[str, float]:
     """Path of the container with the most text of its own; what is two levels down counts half."""
+    return _best_path(blocks(html or ""))
+
+
+def _best_path(found: Iterable[tuple[tuple[str, ...], str, int]]) -> tuple[str, float]:
     score: dict[str, float] = defaultdict(float)
-    for paths, text, links in blocks(html or ""):
+    for paths, text, links in found:
         gain = len(text) - 2 * links
         own = list(dict.fromkeys(paths))[::-1]
         # Headings, list items and the like hand their text to the container around them.
@@ -149,16 +154,31 @@ def best_path(html: str | None) -> tuple[str, float]:
 
 
 LEAF_PATH = re.compile(r"/(?:h[1-6]|li|ul|ol|dl|dt|dd|blockquote|pre|td|th|tr|tbody|thead|table|figure|figcaption|hgroup|header|address)[^/]*\Z")
+ARTICLE = re.compile(r"/(?:article|main)(?:\.|\Z)")
 
 
 def extract(html: str | None, path: str | None) -> str:
-    """Text of all containers on ``path``, or of the page's best one if it has none there."""
+    """Text of the article around the containers on ``path``, or around the page's best one if it has none there.
+
+    The article is all that ``article`` and ``main`` elements hold if ``path`` lies in one. Otherwise it is what
+    is on ``path``, and what lies beside it or beside a container around it and is for less than half links.
+    """
     found = list(blocks(html or ""))
-    mine = [text for paths, text, _ in found if path is not None and path in paths]
-    if not mine:
-        own = best_path(html)[0]
-        mine = [text for paths, text, _ in found if own in paths]
-    return " ".join(mine)
+    if path is None or not any(path in paths for paths, _, _ in found):
+        path = _best_path(found)[0]
+    chain = next((list(dict.fromkeys(paths[: paths.index(path) + 1])) for paths, _, _ in found if path in paths), [])
+    if any(_is_article(p, up) for up, p in zip(chain, chain[1:])):
+        return " ".join(text for paths, text, _ in found if path in paths or any(_is_article(p, up) for up, p in zip(paths, paths[1:])))
+    sizes: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+    beside = [next((p for p in paths if p not in chain), paths[-1]) for paths, _, _ in found]
+    for place, (_, text, links) in zip(beside, found):
+        sizes[place][0] += len(text)
+        sizes[place][1] += links
+    return " ".join(text for place, (paths, text, _) in zip(beside, found) if path in paths or 2 * sizes[place][1] < sizes[place][0])
+
+
+def _is_article(path: str, around: str) -> bool:
+    return bool(ARTICLE.match(path[len(around) :]))
 
 
 def host_of(url: str | None) -> str:

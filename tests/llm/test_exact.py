@@ -144,6 +144,18 @@ def test_html_odd_rows_and_votes(spark):
     assert html_consensus.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_html_keeps_the_whole_article_around_the_best_container(spark):
+    body = "<p>" + "many words of the body " * 20
+    nested = f"<nav>n</nav><article class=a><h1>Head</h1><div class=body>{body}</div></article><footer>f</footer>"
+    two = f"<main><h1>Head</h1><section class=x>{body}</section><div class=ad>Buy</div><section class=y><p>Short end</section></main>"
+    plain = f"<div class='w-1/2'><h1>Head</h1><div class='w-1/3'>{body}</div><div class=end>Last</div><div class=more><a href=/1>one</a> <a href=/2>two</a></div></div>"
+    rows = [(10 * k + i, f"http://h{k}.example/{i}", html) for k, html in enumerate((nested, two, plain)) for i in range(3)]
+    out = html_consensus.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    words = " ".join(body[3:].split())
+    wanted = [f"Head {words}", f"Head {words} Short end", f"Head {words} Last"]
+    assert len(out) == len(rows) and all(r.text == wanted[r.page_id // 10] for r in out)
+
+
 def test_html_salted_join_gives_the_same(spark, monkeypatch):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     few = {r.page_id: r.text for r in html_consensus.extract_main_text(pages).collect()}
