@@ -5,8 +5,9 @@ characters weighs ``DECAY ** n``, so inserted characters and gaps only weaken a
 toxic sentences are found by how often they occur in labelled ones; some of them and some ordinary words
 are the landmarks of a Nyström map, and a linear SVM is trained in the mapped space. Since the kernel is a
 product of explicit subsequence weights, the trained machine folds into one weight per subsequence, and a
-new word costs a few table look-ups. A text is scored by its most toxic words; runs of single characters
-are read as one word. A logistic fit on labelled texts turns this into a probability.
+new word costs a few table look-ups. Pairs of neighbouring words are joined and treated as words, so that a
+broken word or a phrase is one, too. A text is scored by its most toxic words and pairs; runs of single
+characters and words with marks between their letters are read as one word. A logistic fit on labelled texts turns this into a probability.
 
 Null texts count as empty; a text without words gets the base rate of such texts, under 0.5. Rows are
 independent. With only one label present every text gets score 0.
@@ -25,47 +26,55 @@ from sievemark.llm.common import append_columns, array_rows, flat_rows, hashed_s
 from sievemark.session import cut_lineage
 
 ALPHABET = 64
-SPAN = 6  # longest stretch over which a subsequence is counted
 DECAY = 0.6
 WIDTH = 24  # longer words are read in overlapping stretches
+SPAN = WIDTH + 2  # a subsequence may span a whole stretch with its marks; only its weight falls
 SAMPLE_TEXTS = 3000  # labelled texts per label
 MARKERS, ORDINARY, HARD, LANDMARKS = 1500, 6000, 3000, 160
 MAX_WORDS = 600_000  # words whose value a task remembers
-OFFSETS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 WORD = re.compile(r"\S+")
 EDGES = re.compile(r"^[^\w]+|[^\w]+$")
 SINGLES = re.compile(r"(?<!\S)(?:\w[^\w\s]? ){2,}\w(?!\S)")
 
 
-def _code(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 35
-
-
 def encode_words(words: list[str]) -> np.ndarray:
     """Characters as small numbers, with a start and an end mark; 0 fills up and matches nothing."""
-    out = np.zeros((len(words), WIDTH + 2 + SPAN), dtype=np.int32)
-    for i, w in enumerate(words):
-        codes = [62, *[_code(c) for c in w[:WIDTH]], 63]
-        out[i, : len(codes)] = codes
+    size = np.array([min(len(w), WIDTH) for w in words], dtype=np.int64)
+    n = int(size.max(initial=1))
+    chars = np.array(words, dtype=f"U{max(n, 1)}").view(np.uint32).reshape(len(words), -1).astype(np.int32)
+    codes = np.where((chars >= 97) & (chars <= 122), chars - 96, 27 + chars % 35)
+    codes[np.arange(codes.shape[1]) >= size[:, None]] = 0
+    out = np.zeros((len(words), codes.shape[1] + 2), dtype=np.int32)
+    out[:, 0], out[:, 1:-1] = 62, codes
+    out[np.arange(len(words)), size + 1] = 63
     return out
 
 
 def subsequences(codes: np.ndarray):
     """(index of the subsequence, or 0; weight) for every pair of offsets, as arrays over words and starts."""
-    n = codes.shape[1] - SPAN
-    first = codes[:, :n]
-    for a, b in OFFSETS:
-        second, third = codes[:, a : a + n], codes[:, b : b + n]
-        index = (first * ALPHABET + second) * ALPHABET + third
-        yield np.where((first > 0) & (third > 0), index, 0), DECAY ** (b + 1)
+    width = codes.shape[1]
+    for a in range(1, width - 1):
+        pair = (codes[:, : width - a] * ALPHABET + codes[:, a:]) * ALPHABET
+        for b in range(a + 1, width):
+            third = codes[:, b:]
+            yield np.where(third > 0, pair[:, : width - b] + third, 0), DECAY ** (b + 1)
 
 
 def norms(codes: np.ndarray) -> np.ndarray:
     """Length of each word's weight vector, as if no subsequence repeated."""
-    total = np.zeros(len(codes))
-    for index, weight in subsequences(codes):
-        total += (index > 0).sum(1) * weight * weight
-    return np.sqrt(np.maximum(total, 1e-12))
+    n = np.arange(codes.shape[1] + 1)
+    squares = sum((b - 1) * np.maximum(n - b, 0) * DECAY ** (2 * b + 2) for b in range(2, codes.shape[1]))
+    return np.sqrt(np.maximum(squares * np.ones(len(n)), 1e-12))[(codes > 0).sum(1)]
+
+
+def by_length(words: list[str]):
+    """(positions, words) in groups of one length, so that none is filled up."""
+    size = np.array([min(len(w), WIDTH) for w in words])
+    for n in np.unique(size):
+        at = np.flatnonzero(size == n)
+        for start in range(0, len(at), 4096):
+            part = at[start : start + 4096]
+            yield part, [words[i] for i in part]
 
 
 def explicit(words: list[str]) -> np.ndarray:
@@ -82,12 +91,14 @@ def explicit(words: list[str]) -> np.ndarray:
 
 def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
     """Kernel of words with landmarks, given as explicit vectors."""
-    codes = encode_words(words)
     out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
-    for index, weight in subsequences(codes):
-        for start in range(0, index.shape[1]):
-            out += weight * landmarks[:, index[:, start]].T
-    out /= norms(codes)[:, None].astype(np.float32)
+    for at, part in by_length(words):
+        codes = encode_words(part)
+        total = np.zeros((len(part), len(landmarks)), dtype=np.float32)
+        for index, weight in subsequences(codes):
+            for start in range(index.shape[1]):
+                total += np.float32(weight) * landmarks[:, index[:, start]].T
+        out[at] = total / norms(codes)[:, None].astype(np.float32)
     return out
 
 
@@ -108,7 +119,8 @@ def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 1
 class ToxicModel:
     weights: np.ndarray  # per subsequence
     bias: float
-    scale: tuple[float, float, float]  # logistic fit: intercept, best word, second best word
+    scale: tuple[float, ...]  # logistic fit: intercept, best word, second best word, best pair of neighbours
+    pairs: ToxicModel | None = None  # the machine for pairs
 
     def words(self, words: list[str]) -> np.ndarray:
         """Decision value of each word; a long word has that of its most toxic stretch."""
@@ -117,35 +129,51 @@ class ToxicModel:
             for start in range(0, max(len(w) - WIDTH // 2, 1), WIDTH // 2):
                 parts.append(w[start : start + WIDTH])
                 owner.append(i)
-        codes = encode_words(parts)
-        total = np.zeros(len(parts))
-        for index, weight in subsequences(codes):
-            total += weight * self.weights[index].sum(1)
+        value = np.zeros(len(parts))
+        for at, part in by_length(parts):
+            codes = encode_words(part)
+            total = np.zeros(len(part), dtype=np.float32)
+            width = codes.shape[1]  # all codes are above 0 here
+            for a in range(1, width - 1):
+                pair = (codes[:, : width - a] * ALPHABET + codes[:, a:]) * ALPHABET
+                for b in range(a + 1, width):
+                    total += np.float32(DECAY ** (b + 1)) * self.weights.take(pair[:, : width - b] + codes[:, b:]).sum(1)
+            value[at] = total / norms(codes)
         out = np.full(len(words), -np.inf)
-        np.maximum.at(out, owner, total / norms(codes) + self.bias)
+        np.maximum.at(out, owner, value + self.bias)
         return out
 
 
 NOTHING = -3.0  # decision value where a text has no word
 
 
-def split_words(text: str | None) -> set[str]:
-    """Distinct words in small letters without outer marks; runs of single characters also as one word."""
+def split_words(text: str | None) -> tuple[set[str], set[str]]:
+    """Distinct words in small letters without outer marks, and joined pairs of neighbouring words.
+
+    Runs of single characters are also one word, and words with marks inside are also read without these.
+    """
     if not text:
-        return set()
+        return set(), set()
     low = text.lower()
-    words = {EDGES.sub("", w) if not w.isalpha() else w for w in set(low.split())}
+    tokens = [w if w.isalpha() else EDGES.sub("", w) for w in low.split()]
+    tokens = [w for w in tokens if w]
+    words = set(tokens)
+    words.update(["".join(c for c in w if c.isalnum()) for w in words if not w.isalnum()])
     words.update("".join(c for c in m if c.isalnum()) for m in SINGLES.findall(low))
     words.discard("")
-    return words
+    return words, set(map(str.__add__, tokens, tokens[1:]))
 
 
 def word_values(model: ToxicModel):
-    """Function from texts to their two highest word values; remembers words, forgets all when too many."""
+    """Function from texts to their two highest word values and the highest one of a pair of neighbours.
+
+    Remembers words, forgets all when too many; pairs are valued once per batch.
+    """
     known: dict[str, float] = {}
 
-    def run(texts: list[str | None]) -> list[tuple[float, float]]:
-        sets = [split_words(t) for t in texts]
+    def run(texts: list[str | None]) -> list[tuple[float, float, float]]:
+        both = [split_words(t) for t in texts]
+        sets = [w for w, _ in both]
         new = list(set().union(*sets).difference(known))
         if len(known) + len(new) > MAX_WORDS:
             known.clear()
@@ -153,10 +181,16 @@ def word_values(model: ToxicModel):
         for start in range(0, len(new), 20_000):
             part = new[start : start + 20_000]
             known.update(zip(part, model.words(part).tolist()))
+        pairs: dict[str, float] = {}
+        new = list(set().union(*[p for _, p in both]))
+        for start in range(0, len(new), 20_000):
+            part = new[start : start + 20_000]
+            pairs.update(zip(part, (model.pairs or model).words(part).tolist()))
         out = []
-        for s in sets:
+        for s, p in both:
             best = sorted(map(known.__getitem__, s))[-2:] if s else []
-            out.append((max(best[-1], NOTHING) if best else NOTHING, max(best[0], NOTHING) if len(best) > 1 else NOTHING))
+            pair = max(map(pairs.__getitem__, p), default=NOTHING)
+            out.append((max(best[-1], NOTHING) if best else NOTHING, max(best[0], NOTHING) if len(best) > 1 else NOTHING, max(pair, NOTHING)))
         return out
 
     return run
@@ -174,8 +208,11 @@ def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic",
     def make():
         def run(labels, texts):
             for y, t in zip(labels, texts):
-                for w in split_words(t):
-                    yield w, y
+                words, pairs = split_words(t)
+                for w in words:
+                    yield w, False, y
+                for w in pairs:
+                    yield w, True, y
 
         return run
 
@@ -183,36 +220,48 @@ def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic",
     used = {r[0]: r[1] for r in sample.groupBy("_y").count().collect()}
     if len(used) < 2:
         sample.unpersist()
-        return ToxicModel(np.zeros(ALPHABET**3, np.float32), 0.0, (-50.0, 0.0, 0.0))
-    words = flat_rows(sample, ["_y", "_text"], "w string, y int", make).groupBy("w").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good"))
+        return ToxicModel(np.zeros(ALPHABET**3, np.float32), 0.0, (-50.0, 0.0, 0.0, 0.0))
+    words = flat_rows(sample, ["_y", "_text"], "w string, pair boolean, y int", make).groupBy("w", "pair").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good"))
     # Share of toxic texts among those with the word, counted evenly for both labels and drawn to one half.
     lift = (F.col("bad") / used[1]) / (F.col("bad") / used[1] + (F.col("good") + 1) / used[0])
     seen = cut_lineage(words.withColumn("lift", lift))
-    markers = seen.filter((F.col("bad") >= 4) & (F.col("lift") > 0.75)).orderBy(F.desc(F.col("bad") * F.col("lift")), "w").limit(MARKERS).select("w", "bad").collect()
-    plain = seen.filter((F.col("good") >= 2) & (F.col("lift") < 0.65)).orderBy(F.xxhash64("w")).limit(ORDINARY).select("w").collect()
-    signs, hits = [r[0] for r in markers], [float(r[1]) for r in markers]
-    first = _train(signs, hits, [r[0] for r in plain])
-    # Ordinary words that the first machine takes for toxic ones train the second, too.
-    hard = _most_toxic(seen.filter((F.col("good") >= 2) & (F.col("lift") < 0.6)), first).limit(HARD).select("w").collect()
-    model = _train(signs, hits, list(dict.fromkeys([r[0] for r in hard] + [r[0] for r in plain])))
+    signs, hits, plain = _examples(seen.filter("not pair"))
+    model = _train_twice(seen.filter("not pair"), signs, hits, plain)
+    # The machine for pairs also knows the words: a pair may be a broken word.
+    more = _examples(seen.filter("pair"))
+    model.pairs = _train_twice(seen.filter("pair"), signs + more[0], hits + more[1], plain + more[2])
     shared = spark.sparkContext.broadcast(model)
 
     def make_values():
         values = word_values(shared.value)
 
         def run(labels, texts):
-            for y, (a, b) in zip(labels, values(texts)):
-                yield y, a, b
+            for y, v in zip(labels, values(texts)):
+                yield y, *v
 
         return run
 
-    scored = np.array(flat_rows(sample, ["_y", "_text"], "y int, a double, b double", make_values).collect(), dtype=float)
+    scored = np.array(flat_rows(sample, ["_y", "_text"], "y int, a double, b double, c double", make_values).collect(), dtype=float)
     sample.unpersist()
     weight = np.where(scored[:, 0] == 1, share[1] / used[1], share[0] / used[0])
     model.scale = _logistic(scored[:, 1:], scored[:, 0], weight / weight.mean())
     return model
 
 
+def _examples(seen: DataFrame) -> tuple[list[str], list[float], list[str]]:
+    """Words that mark toxic texts, how many of these have them, and ordinary words."""
+    markers = seen.filter((F.col("bad") >= 4) & (F.col("lift") > 0.75)).orderBy(F.desc(F.col("bad") * F.col("lift")), "w").limit(MARKERS).select("w", "bad").collect()
+    plain = seen.filter((F.col("good") >= 2) & (F.col("lift") < 0.65)).orderBy(F.xxhash64("w")).limit(ORDINARY).select("w").collect()
+    return [r[0] for r in markers], [float(r[1]) for r in markers], [r[0] for r in plain]
+
+
+def _train_twice(seen: DataFrame, signs: list[str], hits: list[float], plain: list[str]) -> ToxicModel:
+    """Ordinary words that the first machine takes for toxic ones train the second, too."""
+    first = _train(signs, hits, plain)
+    hard = _most_toxic(seen.filter((F.col("good") >= 2) & (F.col("lift") < 0.6)), first).limit(HARD).select("w").collect()
+    return _train(signs, hits, list(dict.fromkeys([r[0] for r in hard] + plain)))
+
+
 def _most_toxic(words: DataFrame, model: ToxicModel) -> DataFrame:
     shared = words.sparkSession.sparkContext.broadcast(model)
 
@@ -227,7 +276,7 @@ def _most_toxic(words: DataFrame, model: ToxicModel) -> DataFrame:
 
 def _train(markers: list[str], hits: list[float], plain: list[str]) -> ToxicModel:
     if not markers or not plain:
-        return ToxicModel(np.zeros(ALPHABET**3, np.float32), 0.0, (0.0, 0.0, 0.0))
+        return ToxicModel(np.zeros(ALPHABET**3, np.float32), 0.0, (0.0, 0.0, 0.0, 0.0))
     # Landmarks: the most frequent marker words, and ordinary words for contrast.
     step = max(1, len(markers) // (LANDMARKS // 2))
     every = max(1, len(plain) // (LANDMARKS // 2))
@@ -244,12 +293,12 @@ def _train(markers: list[str], hits: list[float], plain: list[str]) -> ToxicMode
     v, bias = linear_svm(x, y, w)
     folded = ((root @ v) @ vectors).astype(np.float32)
     folded[0] = 0
-    return ToxicModel(folded, bias, (0.0, 1.0, 0.0))
+    return ToxicModel(folded, bias, (0.0, 1.0, 0.0, 0.0))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 3000) -> tuple[float, float, float]:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 3000) -> tuple[float, ...]:
     x = np.hstack([np.ones((len(x), 1)), x])
-    theta, m, v = np.zeros(3), np.zeros(3), np.zeros(3)
+    theta, m, v = np.zeros((3, x.shape[1]))
     for step in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -35, 35)))
         grad = x.T @ (weight * (p - y)) / len(y) + 1e-4 * theta
@@ -264,10 +313,10 @@ def score_toxicity(df: DataFrame, model: ToxicModel, text: str = "text") -> Data
 
     def make():
         m = shared.value
-        values, (c, a, b) = word_values(m), m.scale
+        values, scale = word_values(m), np.array(m.scale)
 
         def run(texts):
-            scores = [1 / (1 + float(np.exp(-np.clip(c + a * x + b * y, -35, 35)))) for x, y in values(texts)]
+            scores = [1 / (1 + float(np.exp(-np.clip(scale[0] + scale[1:] @ v, -35, 35)))) for v in values(texts)]
             return [scores, [int(s >= 0.5) for s in scores]]
 
         return run

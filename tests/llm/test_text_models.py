@@ -175,6 +175,26 @@ def test_toxicity_finds_gapped_insults_on_held_out_texts(spark):
     assert np.mean([x.predicted for x in out if not x.bad]) < 0.1
 
 
+def test_toxicity_finds_wide_gaps_broken_words_and_phrases(spark):
+    r = random.Random(6)
+    calm = ["".join(r.choice(("ta", "re", "lo", "mi", "sen", "dor", "ka")) for _ in range(r.randint(2, 4))) for _ in range(300)]
+    calm += ["brick", "head"]
+
+    def text(put=""):
+        words = [r.choice(calm) for _ in range(40)]
+        words[r.randrange(40)] = put or r.choice(calm)
+        return " ".join(words)
+
+    bad = ("idiot", "moron", "scumbag", "brick head")
+    train = spark.createDataFrame([(text(bad[i // 3 % 4] if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(1200)], "text string, toxic int")
+    model = toxicity_kernel.fit_toxicity(train)
+    for put in ("i--d--i--o--t", "m***o***r***o***n", "id iot", "scum bag", "brick head"):
+        out = toxicity_kernel.score_toxicity(spark.createDataFrame([(text(put),) for _ in range(40)], "text string"), model).collect()
+        assert np.mean([x.predicted for x in out]) > 0.85, put
+    out = toxicity_kernel.score_toxicity(spark.createDataFrame([(text(),) for _ in range(200)], "text string"), model).collect()
+    assert np.mean([x.predicted for x in out]) < 0.1
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     model = toxicity_kernel.fit_toxicity(spark.createDataFrame([("a", 0), (None, 1), ("b", None)], "text string, toxic int"))
     assert {r.predicted for r in toxicity_kernel.score_toxicity(odd, model).collect()} == {0}
