@@ -35,8 +35,11 @@ def append_columns(
     names = {f.name.lower() for f in added}
     kept = [f for f in df.schema if f.name.lower() not in names]
     schema = T.StructType([*kept, *added])
-    # Sources travel under positions of their own, so a source that is replaced can still be read.
-    sent = df.select(*[F.col(f"`{f.name}`") for f in kept], *[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(source)])
+    # Sources travel under free names of their own, so a source that is replaced can still be read.
+    sign = "_in"
+    while any(f.name.lower().startswith(sign) for f in kept):
+        sign += "_"
+    sent = df.select(*[F.col(f"`{f.name}`") for f in kept], *[F.col(f"`{c}`").alias(f"{sign}{i}") for i, c in enumerate(source)])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
