@@ -11,7 +11,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
+from sievemark.functions import values as V
 from sievemark.operators import parts as R
 from sievemark.operators.parts import named_columns
 from sievemark.plans.check import Check, Context
@@ -113,6 +115,78 @@ def measures_over(df: DataFrame, parts: Sequence[tuple[str, R.Measure]]) -> Data
     return out.select("check_id", F.to_json(F.map_from_entries("values"), {"ignoreNullFields": "false"}).alias("row"))
 
 
+_NESTED = (Ty.ArrayType, Ty.MapType, Ty.StructType)
+
+
+def pack(c: Column, kind: Ty.DataType) -> Column:
+    """A cell as text that :func:`unpack` reads back without loss."""
+    if isinstance(kind, Ty.BinaryType):
+        return F.base64(c)
+    if isinstance(kind, Ty.TimestampType):
+        return F.unix_micros(c).cast("string")
+    return F.to_json(c) if isinstance(kind, _NESTED) else c.cast("string")
+
+
+def unpack(c: Column, kind: Ty.DataType) -> Column:
+    if isinstance(kind, Ty.BinaryType):
+        return F.unbase64(c)
+    if isinstance(kind, Ty.TimestampType):
+        return F.timestamp_micros(c.cast("bigint"))
+    if isinstance(kind, _NESTED):
+        return F.from_json(c, kind)
+    return c.cast("string" if isinstance(kind, Ty.NullType) else kind)
+
+
+def _packed_over(df: DataFrame, parts: Sequence[tuple[str, R.Part]]) -> list[DataFrame]:
+    plain, grouped, counted, measures = [], [], [], []
+    for check_id, part in parts:
+        name = F.lit(check_id).alias("check_id")
+        if isinstance(part, R.Measure):
+            measures.append((check_id, part))
+            continue
+        if isinstance(part, R.Tally):
+            columns, where = [part.value], part.where
+            counted.append(check_id)
+        else:
+            columns, where = [c for _, c in _shown(df, part)], part.where
+        kinds = [f.dataType for f in df.select(*columns).schema]
+        entry = F.struct(name, F.array(*[pack(c, k) for c, k in zip(columns, kinds)]).alias("cells"))
+        entry = entry if where is None else F.when(where, entry)
+        (grouped if isinstance(part, R.Tally) or part.distinct else plain).append(entry)
+    exploded = lambda entries: df.select(F.inline(F.array_compact(F.array(*entries))))
+    frames = []
+    if plain:
+        frames.append(exploded(plain))
+    if grouped:
+        rows = exploded(grouped).groupBy("check_id", "cells").agg(F.count("*").alias("n"))
+        total = F.concat("cells", F.array(F.col("n").cast("string")))
+        frames.append(rows.select("check_id", F.when(F.col("check_id").isin(counted), total).otherwise(F.col("cells")).alias("cells")))
+    if measures:
+        values = [(i, n, c) for i, p in measures for n, c in p.values.items()]
+        row = df.agg(*[c.alias(f"{i}_{n}") for i, n, c in values])
+        kinds = dict(zip([(i, n) for i, n, _ in values], [f.dataType for f in row.schema]))
+        entries = [
+            F.struct(F.lit(i).alias("check_id"), F.array(*[pack(F.col(f"`{i}_{n}`"), kinds[i, n]) for n in p.values]).alias("cells"))
+            for i, p in measures
+        ]
+        frames.append(row.select(F.inline(F.array(*entries))))
+    return frames
+
+
+def packed_results(ctx: Context, parts: dict[str, list[tuple[str, R.Part]]]) -> DataFrame | None:
+    """Result rows of all parts as ``(check_id, cells)``, in one pass; :func:`report_of` gives each its own columns."""
+    frames = [f for over, members in parts.items() for f in (_packed_over(ctx.base(over), members) if members else [])]
+    return reduce(lambda a, b: a.unionByName(b), frames) if frames else None
+
+
+def report_of(packed: DataFrame, part: R.Part, schema: Ty.StructType) -> DataFrame:
+    """The packed rows of one part with the names and types of its own frame."""
+    cells = [unpack(F.get("cells", F.lit(i)), f.dataType) for i, f in enumerate(schema)]
+    if isinstance(part, R.Tally) and part.null_label is not None:
+        cells[0] = V.null_label(cells[0], part.null_label)
+    return packed.select(*[c.alias(f.name) for c, f in zip(cells, schema)])
+
+
 def _resolves(base: DataFrame, members: Sequence[tuple[str, R.Part]]) -> str | None:
     """Error text if an expression of the parts does not fit the table, such as a missing column."""
     columns: list[Column] = []

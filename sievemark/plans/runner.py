@@ -7,12 +7,14 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sievemark.operators import parts as R
+from sievemark.operators.rows import ordered
 from sievemark.plans.check import Check, Context, Package
-from sievemark.plans.fused import fused_counts, fused_results, package_summary, split_parts
+from sievemark.plans.fused import fused_counts, fused_results, package_summary, packed_results, report_of, split_parts
 from sievemark.sources import sinks
 
 LOG_SCHEMA = (
@@ -70,12 +72,6 @@ def _count(df: DataFrame) -> int:
     return df.count()
 
 
-def _write_and_count(df: DataFrame, folder: str, check: Check, fmt: str) -> int:
-    seen = Observation()
-    sinks.write_report(df.observe(seen, F.count(F.lit(1)).alias("rows")), folder, check.id, fmt)
-    return seen.get["rows"]
-
-
 def run_package(
     package: Package,
     chk: DataFrame,
@@ -93,62 +89,95 @@ def run_package(
 ) -> PackageRun:
     """Run every check; a failing check is recorded and the run goes on.
 
-    Shareable parts run fused, the other checks as jobs of their own, ``parallel`` at a time. With
-    ``output`` the result rows are written below that folder, with a manifest.
+    Shareable parts run fused, the other checks as jobs of their own, ``parallel`` at a time. With ``output``
+    every check that has rows gets a report below that folder, named by its id, title and number of rows, with
+    its own columns in ``output_format``; a check without rows gets none. The rows of the fused parts are
+    written and counted in one job, then each part's rows are read back alone. A manifest names all reports.
     """
     ctx = package.context(chk, refs, **params)
     checks = [c for c in package.checks if c.id not in set(skip)]
     run = PackageRun(package.name, table_name, mode, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     parts, frames, errors = split_parts(ctx, checks)
-    counts = _part_counts(ctx, parts)
     by_id = {c.id: c for c in checks}
+    made = {i: (p, p.frame(ctx.base(over))) for over, members in parts.items() for i, p in members}
+    reports = _Reports(chk.sparkSession, output, output_format, by_id) if output is not None else None
+    done: dict[str, CheckResult] = {}
+    if reports is None:
+        counts = _part_counts(ctx, parts)
+    else:
+        counts = reports.stage_parts(ctx, parts)
+        if counts is None:  # each part as a check of its own
+            frames, made = {**frames, **{i: f for i, (_, f) in made.items()}}, {}
 
     def one(check_id: str, df: DataFrame) -> CheckResult:
         check = by_id[check_id]
         try:
             df = check.frame(ctx, sort=True) if sort else df
-            rows = _count(df) if output is None else _write_and_count(df, output, check, output_format)
+            rows = _count(df) if reports is None else reports.write_frame(check_id, df)
             return CheckResult(check, rows, None, _definition(df))
         except Exception as e:  # noqa: BLE001 - recorded as a failed check
             return CheckResult(check, None, str(e).split("\n")[0])
 
+    def fused(check_id: str) -> CheckResult:
+        check, (part, df), rows = by_id[check_id], made[check_id], counts[check_id]
+        try:
+            if reports is not None and rows:
+                reports.write_part(check_id, part, df.schema, rows, check.order if sort else ())
+            return CheckResult(check, rows, None if rows is not None else "check failed", _definition(df) if rows is not None else "")
+        except Exception as e:  # noqa: BLE001
+            return CheckResult(check, None, str(e).split("\n")[0])
+
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        done = dict(zip(frames, pool.map(lambda kv: one(*kv), frames.items())))
-    for members in parts.values():
-        for check_id, part in members:
-            rows = counts.get(check_id)
-            text = _definition(part.frame(ctx.base(part.over))) if rows is not None else None
-            done[check_id] = CheckResult(by_id[check_id], rows, None if rows is not None else "check failed", text)
+        done |= zip(frames, pool.map(lambda kv: one(*kv), frames.items()))
+        done |= zip(made, pool.map(fused, made))
     for check_id, text in errors.items():
         done[check_id] = CheckResult(by_id[check_id], None, text)
     run.results = [done[c.id] for c in checks]
-    if output is not None:
-        for check_id, text in _write_parts(ctx, parts, counts, output).items():
-            run.results = [CheckResult(r.check, None, text) if r.check.id == check_id else r for r in run.results]
-        sinks.write_manifest(chk.sparkSession, output, [(r.check.id, r.check.name, r.rows, r.definition) for r in run.results])
+    if reports is not None:
+        reports.finish(run.results)
     return run
 
 
-def _write_parts(ctx: Context, parts: dict[str, list[tuple[str, R.Part]]], counts: dict[str, int | None], output: str) -> dict[str, str]:
-    """Writes the rows of all good parts in one job; if that fails, those of each part. Returns the errors of bad ones."""
-    good = {o: [m for m in ms if counts.get(m[0]) is not None] for o, ms in parts.items()}
-    errors = {}
+class _Reports:
+    """The reports of one run: staged rows first, then a folder per check that has any."""
 
-    def write(some):
-        fused = fused_results(ctx, some)
-        if fused is not None:
-            sinks.write_fused_reports(fused, output)
+    def __init__(self, spark: SparkSession, output: str, fmt: str, checks: Mapping[str, Check]):
+        self.spark, self.output, self.fmt, self.checks = spark, output, fmt, checks
+        self.staging = f"{output}/_staging"
+        self.paths: dict[str, str] = {}
+        for check_id in checks:  # of an earlier run
+            sinks.remove(spark, f"{output}/{check_id} *")
 
-    try:
-        write(good)
-    except Exception:  # noqa: BLE001 - found below
-        for over, members in good.items():
-            for member in members:
-                try:
-                    write({over: [member]})
-                except Exception as e:  # noqa: BLE001 - recorded as a failed check
-                    errors[member[0]] = str(e).split("\n")[0]
-    return errors
+    def _path(self, check_id: str, rows: int) -> str:
+        self.paths[check_id] = sinks.report_name(check_id, self.checks[check_id].name, rows)
+        return f"{self.output}/{self.paths[check_id]}"
+
+    def stage_parts(self, ctx: Context, parts: dict[str, list[tuple[str, R.Part]]]) -> dict[str, int] | None:
+        """Rows of all parts, written in one job; None if that job fails."""
+        ids = [i for members in parts.values() for i, _ in members]
+        try:
+            packed = packed_results(ctx, parts)
+            return {} if packed is None else sinks.stage_packed(packed, f"{self.staging}/fused", ids)
+        except Exception:  # noqa: BLE001 - the bad part is found when each runs alone
+            return None
+
+    def write_part(self, check_id: str, part: R.Part, schema: StructType, rows: int, order: Sequence[str]) -> None:
+        # Each part has a folder of its own, so no write can touch the rows of another part.
+        packed = self.spark.read.schema("cells array<string>").parquet(f"{self.staging}/fused/check_id={check_id}")
+        report = report_of(packed, part, schema)
+        sinks.write_report(ordered(report, order) if order else report, self._path(check_id, rows), self.fmt)
+
+    def write_frame(self, check_id: str, df: DataFrame) -> int:
+        staged = f"{self.staging}/{check_id}"
+        rows = sinks.stage_report(df, staged, self.fmt)
+        if rows:
+            sinks.rename(self.spark, staged, self._path(check_id, rows))
+        return rows
+
+    def finish(self, results: Sequence[CheckResult]) -> None:
+        sinks.remove(self.spark, self.staging)
+        entries = [(r.check.id, r.check.name, r.rows, None if r.failed else self.paths.get(r.check.id), r.definition) for r in results]
+        sinks.write_manifest(self.spark, self.output, entries)
 
 
 def _measure_counts(ctx: Context, parts: dict[str, list[tuple[str, R.Part]]]) -> dict[str, int | None]:

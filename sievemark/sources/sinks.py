@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_ROWS = 20_000
@@ -40,23 +41,60 @@ def write_jdbc(df: DataFrame, url: str, table: str, if_exists: str = "drop", **o
     writer.mode("append" if if_exists == "append" else "overwrite").save()
 
 
-def write_report(df: DataFrame, folder: str, check_id: str, fmt: str = "parquet") -> None:
-    """Result rows of one check, header in capitals."""
-    out = df.toDF(*[c.upper() for c in df.columns])
+def report_name(check_id: str, title: str, rows: int) -> str:
+    """Folder name of a report: id, title and number of rows, without characters that paths give a meaning."""
+    return re.sub(r"[^\w .,()+-]+", "_", f"{check_id} {title}").strip() + f" - Rows {rows}"
+
+
+def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Result rows of one check, header in capitals; a single column as ``text`` becomes an input file."""
+    out = df.select(*[(F.col(f"`{c}`").cast("string") if t == "void" else F.col(f"`{c}`")).alias(c.upper()) for c, t in df.dtypes])
+    if fmt == "text":
+        write_input_lines(out, path)
+        return
     writer = out.write.mode("overwrite").format(fmt)
-    if fmt == "csv":
-        writer = writer.option("header", "true")
-    writer.save(f"{folder}/{check_id}")
+    (writer.option("header", "true") if fmt == "csv" else writer).save(path)
+
+
+def stage_packed(packed: DataFrame, path: str, check_ids: Sequence[str]) -> dict[str, int]:
+    """Write the packed rows of many checks in one job, apart by check; returns how many rows each has."""
+    seen = Observation()
+    counts = [F.count_if(F.col("check_id") == i).alias(i) for i in check_ids]
+    packed.observe(seen, *counts).write.mode("overwrite").partitionBy("check_id").parquet(path)
+    return {i: seen.get[i] for i in check_ids}
+
+
+def stage_report(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+    """Write one report and count its rows in the same job."""
+    seen = Observation()
+    write_report(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, fmt)
+    return seen.get["rows"]
+
+
+def _files(spark: SparkSession, path: str):
+    """File system of a path, and the path as it knows it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, source = _files(spark, old)
+    _, target = _files(spark, new)
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"{old} could not be renamed to {new}")
 
 
-def write_fused_reports(results: DataFrame, folder: str) -> None:
-    """Result rows of the fused checks, one folder per check; checks without rows write nothing."""
-    results.write.mode("overwrite").partitionBy("check_id").parquet(f"{folder}/fused")
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove what a path or pattern names; nothing if there is nothing."""
+    fs, at = _files(spark, path)
+    for found in fs.globStatus(at) or []:
+        fs.delete(found.getPath(), True)
 
 
 def write_manifest(spark: SparkSession, folder: str, entries: Sequence[tuple]) -> None:
-    """One line per check of the package: id, name, rows and definition."""
-    frame = spark.createDataFrame(list(entries), "check_id string, name string, rows bigint, definition string")
+    """One line per check of the package: id, name, rows, folder of its report and definition."""
+    frame = spark.createDataFrame(list(entries), "check_id string, name string, rows bigint, report string, definition string")
     frame.coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
 
 

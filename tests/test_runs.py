@@ -48,9 +48,68 @@ def test_failing_checks_are_recorded_and_the_run_goes_on(spark, refs, tmp_path):
     assert len(failed) == 5 and failed[0]["table_name"] == "REQ" and failed[0]["sql_name"] == "INFO - Count RDDs"
     manifest = {r["check_id"]: r["rows"] for r in spark.read.json(str(tmp_path / "out" / "manifest")).collect()}
     assert {k: v for k, v in manifest.items() if v is not None} == {k: v for k, v in by_id.items() if v is not None}
-    assert spark.read.parquet(str(tmp_path / "out" / "G04")).columns == ["TC_ID", "STATUS_NEW", "COUNT"]
-    fused = spark.read.parquet(str(tmp_path / "out" / "fused")).groupBy("check_id").count().collect()
-    assert {r["check_id"]: r["count"] for r in fused} == {i: by_id[i] for i in ("G01", "G02", "G14")}
+    reports = reports_of(spark, tmp_path / "out")
+    assert set(reports) == {i for i, n in by_id.items() if n}
+    assert reports["G04"].columns == ["TC_ID", "STATUS_NEW", "COUNT"]
+    assert {i: df.count() for i, df in reports.items()} == {i: n for i, n in by_id.items() if n}
+
+
+def reports_of(spark, folder, fmt="parquet", **options):
+    """The reports of a run by check; a report's name ends with its number of rows."""
+    found = {}
+    for path in folder.iterdir():
+        if " - Rows " in path.name:
+            found[path.name.split(" ")[0]] = spark.read.options(**options).format(fmt).load(str(path))
+            assert path.name.endswith(f" - Rows {found[path.name.split(' ')[0]].count()}") or fmt == "text"
+    return found
+
+
+def as_set(df):
+    return sorted((tuple(map(str, r)) for r in df.collect()))
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_reports_have_the_rows_and_types_of_their_checks(spark, refs, tmp_path, monkeypatch, broken):
+    if broken:  # the job that writes all parts fails; nothing may be lost
+
+        def fail(*args):
+            raise RuntimeError("disk full")
+
+        monkeypatch.setattr(sinks, "stage_packed", fail)
+    p = PACKAGES["item"]
+    wanted = ["A01", "A02", "A03", "A08", "A09", "A15", "A20", "A35", "A39", "A57"]
+    run = RU.run_package(p, refs["stg_item"], refs, now=NOW, output=str(tmp_path / "out"), skip=[c.id for c in p.checks if c.id not in wanted])
+    reports, by_id = reports_of(spark, tmp_path / "out"), run.rows()
+    ctx = p.context(refs["stg_item"], refs)
+    assert set(reports) == {i for i in wanted if by_id[i]} and None not in by_id.values()
+    for i, df in reports.items():
+        frame = p.check(i).frame(ctx)
+        assert [(c.upper(), t) for c, t in frame.dtypes] == df.dtypes and as_set(frame) == as_set(df), i
+    manifest = {r["check_id"]: r["report"] for r in spark.read.json(str(tmp_path / "out" / "manifest")).collect()}
+    assert {i for i, path in manifest.items() if path} == set(reports) and not (tmp_path / "out" / "_staging").exists()
+
+
+def test_a_second_run_replaces_the_reports_of_its_checks_only(spark, tmp_path):
+    checks = [C.Check("Z1", C.ISSUE, "big/large: all?", lambda c: R.RowRule(F.col("v") > 1)), C.Check("Z2", C.INFO, "sum", lambda c: R.Measure({"t": F.sum("v")}))]
+    p, out = C.Package("mine", ["v"], checks), tmp_path / "out"
+    RU.run_package(p, spark.createDataFrame([(1,), (2,), (3,)], "v int"), now=NOW, output=str(out), output_format="csv")
+    assert {x.name for x in out.iterdir()} == {"Z1 ISSUE - big_large_ all_ - Rows 2", "Z2 INFO - sum - Rows 1", "manifest"}
+    RU.run_package(p, spark.createDataFrame([(2,)], "v int"), now=NOW, output=str(out), output_format="text", skip=["Z2"])
+    assert {x.name for x in out.iterdir()} == {"Z1 ISSUE - big_large_ all_ - Rows 1", "Z2 INFO - sum - Rows 1", "manifest"}
+    assert sorted(r.value for r in spark.read.option("lineSep", "\r\n").text(str(out / "Z1 ISSUE - big_large_ all_ - Rows 1")).collect()) == ["2", "INPUT"]
+    RU.run_package(p, spark.createDataFrame([(0,)], "v int"), now=NOW, output=str(out), skip=["Z2"])
+    assert {x.name for x in out.iterdir()} == {"Z2 INFO - sum - Rows 1", "manifest"}
+
+
+def test_cells_of_every_type_come_back(spark):
+    row = spark.sql(
+        "select 1 i, cast(1.5 as double) d, cast(0.1 as float) f, cast('12.340' as decimal(9,3)) n, timestamp '2024-01-02 03:04:05.678901' t, "
+        "date '2020-02-29' a, true b, x'00ff' x, array(1, null) l, named_struct('p', 'q', 'r', cast(null as int)) s, map('k', 2) m, cast(null as string) z"
+    )
+    part = R.RowRule(F.lit(True))
+    (packed,) = FU._packed_over(row, [("Z1", part)])
+    back = FU.report_of(packed, part, row.schema)
+    assert back.dtypes == row.dtypes and back.collect() == row.collect()
 
 
 def test_finished_checks_are_skipped_on_the_next_run(spark, refs, tmp_path):
