@@ -65,8 +65,9 @@ def records(raw: DataFrame) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with their place in the input: file, then order within the file."""
-    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line_order"))
+    """Text lines with their place in the input: file, block of the file, then order within the block."""
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line_order")]
+    return spark.read.text(path).select("value", *place)
 
 
 def split_fields(lines: DataFrame, sep: str) -> DataFrame:

@@ -63,3 +63,79 @@ def test_leading_short_lines_are_dropped_only_at_the_top(spark):
 def test_position_keeps_stored_order_without_keys(spark):
     df = spark.range(0, 100, 1, 4).select(F.col("id"))
     assert all(r["position"] == r["id"] + 1 for r in SP.with_position(df).collect())
+
+
+@pytest.mark.parametrize("entries", [1, 40, 10**6])
+@pytest.mark.parametrize("n", [3, 60, 1000])
+def test_carry_tree_equals_sequential_greedy(spark, monkeypatch, entries, n):
+    from sievemark.operators import ordered
+
+    monkeypatch.setattr(SP, "CHAIN_ENTRIES", entries)
+    monkeypatch.setattr(ordered, "_PER_RANGE", 100)
+    monkeypatch.setattr(SP, "order_rows", lambda df, order: ordered.order_rows(df, order, 23))
+    rnd = random.Random(n)
+    keys = [f"{i:04d}" for i in range(500)] + [f"{rnd.randrange(500):04d}" for _ in range(400)] + ["0250"] * 90
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k string").repartition(3)
+    expected = greedy(keys, n)
+    assert {(r["k"], r["chunk"]) for r in SP.split_by_group(df, ["k"], n).select("k", "chunk").distinct().collect()} == set(expected.items())
+
+
+def test_one_row_per_key_and_a_large_chunk(spark):
+    n, total = 1_000_000, 2_500_000
+    df = spark.range(total).select(F.format_string("%08d", "id").alias("k"))
+    got = SP.split_by_group(df, ["k"], n).groupBy("chunk").agg(F.count("*").alias("rows"), F.min("k").alias("low")).collect()
+    assert sorted(map(tuple, got)) == [(0, n, "00000000"), (1, n, "01000000"), (2, total - 2 * n, "02000000")]
+
+
+def test_composed_effects_equal_one_run_after_the_other():
+    import numpy as np
+
+    r = random.Random(5)
+    for _ in range(300):
+        n = r.randint(1, 12)
+        runs = [[r.randint(1, 6) for _ in range(r.randint(1, 6))] for _ in range(3)]
+
+        def effect(sizes):
+            import pyarrow as pa
+
+            t = pa.table({"_size": sizes, "_i": list(range(len(sizes))), "run": [0] * len(sizes)})
+            return SP._effects_of(SP._effect(n)(t))[1][0]
+
+        both = SP._then(SP._then(effect(runs[0]), effect(runs[1])), effect(runs[2]))
+        for carry in range(n):
+            open_rows, closed = carry, 0
+            for size in sum(runs, []):
+                open_rows += size
+                if open_rows >= n:
+                    open_rows, closed = 0, closed + 1
+            assert [int(x[0]) for x in SP._after(both, np.array([carry]))] == [open_rows, closed]
+
+
+def test_lines_are_split_by_fields_without_the_leading_title(spark, tmp_path):
+    lines = ["title", "", "b|2|x", "a|10|y", "short", "a|2|z", "b|1|w"]
+    (tmp_path / "in.txt").write_text("\n".join(lines) + "\n")
+    got = SP.split_lines_by_group(RD.read_lines(spark, str(tmp_path / "in.txt")), "|", [1, 2], 2)
+    keys = {"a|10|y": ("a", "10"), "a|2|z": ("a", "2"), "b|1|w": ("b", "1"), "b|2|x": ("b", "2"), "short": ("short", "")}
+    assert {r["value"]: r["chunk"] for r in got.collect()} == {v: greedy(keys.values(), 2)[k] for v, k in keys.items()}
+    (tmp_path / "none.txt").write_text("only\ntitles\n")
+    assert SP.split_lines_by_group(RD.read_lines(spark, str(tmp_path / "none.txt")), "|", [1], 2).count() == 0
+
+
+def test_files_are_numbered_by_blocks_without_a_checkpoint(spark, tmp_path, monkeypatch):
+    lines = [f"line {i:05d}" for i in range(4000)]
+    for part in range(4):
+        (tmp_path / f"f{part}.txt").write_text("\n".join(lines[part * 1000 : (part + 1) * 1000]) + "\n")
+
+    def never(df):
+        raise AssertionError("rows were written")
+
+    monkeypatch.setattr(SP, "cut_lineage", never)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        df = spark.read.text(str(tmp_path))
+        assert df.rdd.getNumPartitions() > 4
+        assert all(r.value == lines[r.position - 1] for r in SP.with_position(df).collect())
+        assert all(int(r.value[5:]) // 700 == r.chunk for r in SP.split_by_size(df, 700).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
