@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions.text import _col
+from sievemark.operators.keyed import PIECE_ROWS
+from sievemark.session import cut_lineage
 
 
 def id_union(df: DataFrame, cols: Sequence[Column | str] | Mapping[str, Column | str], name="tc_id", type_name="type", extra=None) -> DataFrame:
@@ -41,7 +43,52 @@ def union_set(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.union(b), frames).distinct()
 
 
-def outer_join_inputs(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
+def full_outer_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], piece_rows: int | None = None) -> DataFrame:
+    """Full outer join on pairs of (left, right) columns, NULL keys equal, keys with many rows in pieces.
+
+    Column names have to differ. A key with more than ``piece_rows`` rows on either side is taken apart from the
+    others: where only one side has it, its rows pass without a join; where both do, the rows of each side are dealt
+    into pieces and every piece meets every piece of the other side, so no task gets more than a piece of each.
+    Blank keys are a key like any other here. There are at most ``rows / piece_rows`` such keys, which bounds the
+    broadcast; the others are joined as usual. Finding them counts the rows per key first.
+    """
+    size = piece_rows or PIECE_ROWS
+    keys = [f"_k{i}" for i in range(len(on))]
+
+    def counts(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+        return df.groupBy(*[F.col(f"`{c}`").alias(k) for k, c in zip(keys, columns)]).agg(F.count("*").alias(name))
+
+    lcols, rcols = [a for a, _ in on], [b for _, b in on]
+    both = counts(left, lcols, "_m").unionByName(counts(right, rcols, "_n"), allowMissingColumns=True)
+    sizes = both.groupBy(*keys).agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_m"), F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"))
+    heavy = cut_lineage(sizes.filter((F.col("_m") > size) | (F.col("_n") > size)))
+    same = reduce(lambda a, b: a & b, [F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`")) for a, b in on])
+    if heavy.isEmpty():
+        return left.join(right, same, "outer")
+    pieces = lambda c: F.ceil(F.greatest(F.col(c), F.lit(1)) / size).cast("int")
+    heavy = heavy.select(*keys, "_m", "_n", pieces("_m").alias("_a"), pieces("_n").alias("_b"))
+
+    def marked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        match = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(k)) for c, k in zip(columns, keys)])
+        return df.join(F.broadcast(heavy), match, "left").drop(*keys)
+
+    lrows, rrows = marked(left, lcols), marked(right, rcols)
+    plain = ["_m", "_n", "_a", "_b"]
+    light = lrows.filter("_m is null").drop(*plain).join(rrows.filter("_m is null").drop(*plain), same, "outer")
+    alone = lrows.filter("_n = 0").drop(*plain).unionByName(rrows.filter("_m = 0").drop(*plain), allowMissingColumns=True)
+
+    def dealt(df: DataFrame, own: str, other: str, names: tuple[str, str]) -> DataFrame:
+        # Deterministic per row and input partition; equal rows of several partitions are spread, too.
+        spot = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns if c not in plain])
+        rows = df.filter("_m > 0 and _n > 0").withColumn(names[0], F.pmod(spot, F.col(own)).cast("int"))
+        return rows.withColumn(names[1], F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop(*plain)
+
+    l, r = dealt(lrows, "_a", "_b", ("_li", "_lj")), dealt(rrows, "_b", "_a", ("_rj", "_ri"))
+    met = l.join(r, same & (F.col("_li") == F.col("_ri")) & (F.col("_lj") == F.col("_rj"))).drop("_li", "_lj", "_ri", "_rj")
+    return light.unionByName(alone).unionByName(met)
+
+
+def outer_join_inputs(frames: Sequence[DataFrame], on: Sequence[str], piece_rows: int | None = None) -> DataFrame:
     """Full outer join of all inputs on shared keys; clashing columns get ``_x`` and ``_y``.
 
     NULL keys match each other, as blank cells of two sheets do.
@@ -53,11 +100,10 @@ def outer_join_inputs(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFra
         lnames = [c if c in on or c not in clash else f"{c}_x" for c in left.columns]
         rnames = [f"_right_{c}" if c in on else f"{c}_y" if c in clash else c for c in right.columns]
         left, right = left.toDF(*lnames), right.toDF(*rnames)
-        cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
-        keys = [F.coalesce(F.col(c), F.col(f"_right_{c}")).alias(c) for c in on]
-        rest = [c for c in [*lnames, *rnames] if c not in on and not c.startswith("_right_")]
-        first = [keys[on.index(c)] if c in on else F.col(c) for c in lnames]
-        return left.join(right, cond, "outer").select(*first, *[c for c in rest if c not in lnames])
+        joined = full_outer_join(left, right, [(c, f"_right_{c}") for c in on], piece_rows)
+        keys = [F.coalesce(F.col(f"`{c}`"), F.col(f"`_right_{c}`")).alias(c) for c in on]
+        rest = [c for c in rnames if not c.startswith("_right_")]
+        return joined.select(*[keys[on.index(c)] if c in on else F.col(f"`{c}`") for c in lnames], *[F.col(f"`{c}`") for c in rest])
 
     return reduce(pair, frames)
 

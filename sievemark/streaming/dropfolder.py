@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,6 +14,9 @@ from sievemark.plans.staging import clean
 
 ROW_KEY = "row_key"
 BATCH = "batch"
+# The index: a folder that readers of the target pass over, partitioned by the first digits of the key.
+KEYS, PREFIX, PREFIX_DIGITS = "_keys", "prefix", 2
+_MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def row_key(df: DataFrame) -> DataFrame:
@@ -20,19 +25,55 @@ def row_key(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_KEY, F.sha2(fields, 256))
 
 
+def _index(spark: SparkSession, target: str) -> DataFrame | None:
+    """The keys of all rows of the target, by prefix and batch; made from the rows where there is none yet."""
+    try:
+        return spark.read.parquet(f"{target}/{KEYS}")
+    except AnalysisException as e:
+        if e.getCondition() not in _MISSING:
+            raise
+    try:
+        rows = spark.read.parquet(target)
+    except AnalysisException as e:  # the first batch finds no table
+        if e.getCondition() not in _MISSING:
+            raise
+        return None
+    _write_keys(rows.select(ROW_KEY, BATCH), target)
+    return spark.read.parquet(f"{target}/{KEYS}")
+
+
+def _write_keys(keys: DataFrame, target: str) -> None:
+    """Adds keys to the index; the keys of a batch that is repeated replace those it wrote before."""
+    rows = keys.withColumn(PREFIX, F.substring(ROW_KEY, 1, PREFIX_DIGITS)).repartition(PREFIX)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PREFIX, BATCH).parquet(f"{target}/{KEYS}")
+
+
+def earlier_keys(fresh: DataFrame, batch_id: int, target: str) -> DataFrame | None:
+    """Keys of earlier batches that ``fresh`` rows may have: only the partitions of their prefixes are read."""
+    index = _index(fresh.sparkSession, target)
+    if index is None:
+        return None
+    prefixes = [r[0] for r in fresh.select(F.substring(ROW_KEY, 1, PREFIX_DIGITS)).distinct().collect()]  # at most 16 ** PREFIX_DIGITS
+    return index.filter(F.col(PREFIX).isin(prefixes) & (F.col(BATCH) < batch_id)).select(ROW_KEY)
+
+
 def append_new_rows(df: DataFrame, batch_id: int, target: str) -> None:
-    """Add rows that no earlier batch has; a repeated batch replaces what it wrote before."""
+    """Add rows that no earlier batch has; a repeated batch replaces what it wrote before.
+
+    The keys of the target's rows are kept beside it, partitioned by their first digits, so a batch reads keys of
+    its own prefixes, not the target. Keys are added after the rows: a batch that was stopped in between is
+    repeated, finds no keys of its own, and leaves the same rows and keys.
+    """
     spark = df.sparkSession
-    fresh = row_key(df).dropDuplicates([ROW_KEY])
+    fresh = row_key(df).dropDuplicates([ROW_KEY]).persist(StorageLevel.DISK_ONLY)
     try:
-        earlier = spark.read.parquet(target).filter(F.col(BATCH) < batch_id).select(ROW_KEY)
-    except Exception as e:  # noqa: BLE001 - the first batch finds no table
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        earlier = None
-    if earlier is not None:
-        fresh = fresh.join(earlier, ROW_KEY, "left_anti")
-    fresh.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+        earlier = earlier_keys(fresh, batch_id, target)
+        rows = fresh if earlier is None else fresh.join(earlier, ROW_KEY, "left_anti")
+        rows.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+    finally:
+        fresh.unpersist()
+    written = spark.read.schema(f"{ROW_KEY} string").parquet(f"{target}/{BATCH}={batch_id}")
+    _write_keys(written.withColumn(BATCH, F.lit(batch_id).cast("int")), target)
 
 
 def load_folder(
