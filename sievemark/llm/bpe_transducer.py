@@ -6,8 +6,8 @@ are (last token, place in the trie of tokens): from a place that ends a token on
 if the token may follow the last one. ``BpeTransducer`` determinises this automaton while it reads: a state
 is the set of live hypotheses, each with the tokens on which the others disagree, and a step emits the
 tokens on which all agree. No hypothesis can fall behind by more than the longest token, which bounds the
-lookahead. States and steps are built when first met and forgotten when too many; so are the results
-for chunks of text between blanks, which repeat a lot.
+lookahead. States and steps are built when first met, up to a bound; beyond it hypotheses are followed without
+being stored. The results for chunks of text between blanks, which repeat a lot, are forgotten when too many.
 
 Null texts count as empty, an empty text has no ids. Rows are independent: repeated rows give repeated
 results. Added columns replace input columns of the same name, all others are kept.
@@ -23,13 +23,15 @@ from itertools import chain
 
 from pyspark.sql import DataFrame
 
-from sievemark.llm.common import append_columns, module_cache
+from sievemark.llm.common import append_columns, module_cache, without_collection
 
 # The characters with the Unicode property White_Space.
 WHITE_SPACE = "\t\n\v\f\r \x85\xa0                　"
 ROOT = 0
 MAX_STATES = 150_000
-MAX_CHUNKS = 200_000
+MAX_CHUNKS = 300_000
+DECODE_PIECE = 4096
+LONG_CHUNK = 64  # characters; longer chunks are not remembered
 
 
 class BpeTransducer:
@@ -45,9 +47,14 @@ class BpeTransducer:
         self._build_trie()
         self._joins: dict[int, bool] = {}
         self._split_of: dict[int, tuple[int, int] | None] = {}
-        self._forget()
+        self._state_ids: dict[tuple, int] = {}
+        self._states: list[tuple] = []
+        self._steps: dict[int, tuple[tuple[int, ...], int]] = {}
+        self._start = self._state((None, (((), ROOT),)))
         self._young: dict[str, tuple[int, ...]] = {}
         self._old: dict[str, tuple[int, ...]] = {}
+        # Under such a pattern a run of letters, with a blank before it or not, is one match.
+        self._letters_are_one = r" ?\p{L}+" in pattern and not re.search(r"\(\?!|\(\?<", pattern.replace(r"\s+(?!\S)", ""))
         space = re.escape(WHITE_SPACE)
         self._odd_space = re.compile(f" [{space}]|[{space}] |^[{space}]|[{space}]$").search
         self._units = re.compile(f" ?[^{space}]+|[{space}]+(?![^{space}])|[{space}]+").findall
@@ -120,12 +127,6 @@ class BpeTransducer:
                 return True
             limit, left = left, undo_left[1]
 
-    def _forget(self) -> None:
-        self._state_ids: dict[tuple, int] = {}
-        self._states: list[tuple] = []
-        self._steps: dict[int, tuple[tuple[int, ...], int]] = {}
-        self._start = self._state((None, (((), ROOT),)))
-
     def _state(self, state: tuple) -> int:
         found = self._state_ids.get(state)
         if found is None:
@@ -164,17 +165,43 @@ class BpeTransducer:
         step = self._steps[sid << 8 | b] = (emitted, self._state(state))
         return step
 
+    def _walk(self, sid: int, rest: bytes) -> tuple[int, ...]:
+        """Tokens from a state to the end of the bytes, following its hypotheses without storing what they become."""
+        last, live = self._states[sid]
+        trie, tokens, inner, final = self._trie, self._token_at, self._inner, len(rest) - 1
+        for i, b in enumerate(rest):
+            out, ended = [], None
+            for pending, node in live:
+                node = trie.get(node << 8 | b)
+                if node is None:
+                    continue
+                if ended is None and node in tokens:
+                    token = tokens[node]
+                    if self._may_follow(pending[-1] if pending else last, token):
+                        ended = (*pending, token)
+                        if i == final:
+                            return ended
+                if node in inner:
+                    out.append((pending, node))
+            out.append((ended, ROOT))
+            live = out
+        raise ValueError("no hypothesis ends here")
+
     def transduce(self, piece: bytes) -> tuple[int, ...]:
-        """Ids of one match of the pattern."""
+        """Ids of one match of the pattern.
+
+        States are stored while there is room. The last byte, whose step many words do not share, and all bytes
+        after an unknown step when the room is used up are followed without being stored.
+        """
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if len(self._states) > self.max_states:
-            self._forget()
-        sid, steps, out = self._start, self._steps, []
-        for b in piece:
+        sid, steps, out, final = self._start, self._steps, [], len(piece) - 1
+        for i, b in enumerate(piece):
             step = steps.get(sid << 8 | b)
             if step is None:
+                if i == final or len(self._states) >= self.max_states:
+                    return (*out, *self._walk(sid, piece[i:]))
                 step = self._new_step(sid, b)
             emitted, sid = step
             if emitted:
@@ -185,10 +212,16 @@ class BpeTransducer:
                 break
         return tuple(out)
 
+    def pieces(self, chunk: str) -> list[str]:
+        """Matches of the pattern in a chunk."""
+        if self._letters_are_one and chunk.isascii() and chunk[chunk[0] == " " :].isalpha():
+            return [chunk]
+        return self.split(chunk)
+
     def _chunk(self, chunk: str) -> tuple[int, ...]:
         known = self._old.get(chunk)
         if known is None:
-            pieces = self.split(chunk)
+            pieces = self.pieces(chunk)
             if len(pieces) == 1:
                 known = self.transduce(chunk.encode())
             else:
@@ -199,15 +232,18 @@ class BpeTransducer:
         self._young[chunk] = known
         return known
 
+    def _chunks(self, text: str) -> list[str]:
+        """Stretches that are encoded apart: those that start at a single blank are independent of each other."""
+        if self._odd_space(text):
+            return self._units(text)
+        head, *rest = text.split(" ")
+        return [head, *[" " + c for c in rest]]
+
     def encode(self, text: str | None) -> list[int]:
-        """Ids of a whole text. Chunks that start at a single blank are independent of each other."""
+        """Ids of a whole text."""
         if not text:
             return []
-        if self._odd_space(text):
-            chunks = self._units(text)
-        else:
-            head, *rest = text.split(" ")
-            chunks = [head, *[" " + c for c in rest]]
+        chunks = self._chunks(text)
         found = [self._young.get(c) for c in chunks]
         if None in found:
             for i, ids in enumerate(found):
@@ -216,6 +252,53 @@ class BpeTransducer:
         return list(chain.from_iterable(found))
 
 
+class Digester:
+    """Number, decimal text and decoded bytes of the ids of a text, put together from those of its chunks.
+
+    A chunk is encoded and its ids are decoded when it is met; ``max_chunks`` bounds twice what is remembered.
+    """
+
+    def __init__(self, t: BpeTransducer, max_chunks: int):
+        self.t, self.max_chunks = t, max_chunks
+        self.young: dict[str, tuple[int, bytes, bytes]] = {}
+        self.old: dict[str, tuple[int, bytes, bytes]] = {}
+
+    def _entry(self, chunk: str) -> tuple[int, bytes, bytes]:
+        known = self.old.get(chunk)
+        if known is None:
+            pieces = self.t.pieces(chunk)
+            if len(pieces) == 1:
+                ids = self.t.transduce(chunk.encode())
+                machine = Utf8Machine()
+                decoded = machine.feed(b"".join([self.t.bytes_of[i] for i in ids])) + machine.end()
+                known = (len(ids), b"%d" % ids if len(ids) == 1 else " ".join(map(str, ids)).encode(), decoded.encode())
+            else:
+                counts, ids, decoded = zip(*[self.young.get(p) or self._entry(p) for p in pieces])
+                known = (sum(counts), b" ".join(ids), b"".join(decoded))
+        if len(self.young) >= self.max_chunks:
+            self.old, self.young = self.young, {}
+        if len(chunk) <= LONG_CHUNK:
+            self.young[chunk] = known
+        return known
+
+    def digests(self, text: str | None) -> tuple[int, str, str]:
+        n, ids_sha, text_sha, first = 0, sha256(), sha256(), True
+        chunks = [c for c in self.t._chunks(text) if c] if text else []
+        get = self.young.get
+        for low in range(0, len(chunks), DECODE_PIECE):
+            part = chunks[low : low + DECODE_PIECE]
+            found = [get(c) for c in part]
+            if None in found:
+                found = [f or self._entry(c) for f, c in zip(found, part)]
+                get = self.young.get
+            counts, ids, decoded = zip(*found)
+            n += sum(counts)
+            ids_sha.update(b" ".join(ids) if first else b" " + b" ".join(ids))
+            text_sha.update(b"".join(decoded))
+            first = False
+        return n, ids_sha.hexdigest(), text_sha.hexdigest()
+
+
 class Utf8Machine:
     """Incremental UTF-8: feed bytes in any pieces, get text as soon as its bytes are complete.
 
@@ -231,6 +314,8 @@ class Utf8Machine:
         return 1 if lead < 0x80 else 2 if 0xC2 <= lead < 0xE0 else 3 if 0xE0 <= lead < 0xF0 else 4 if 0xF0 <= lead < 0xF5 else 1
 
     def feed(self, data: bytes) -> str:
+        if not self._open and data.isascii():
+            return data.decode("ascii")
         data = self._open + data
         cut = len(data)
         for back in range(1, min(3, len(data)) + 1):
@@ -259,31 +344,41 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
 
 
-def transducer(path: str | None = None, pattern: str | None = None, states: int = MAX_STATES, chunks: int = MAX_CHUNKS) -> BpeTransducer:
-    """The transducer of a rank file; built once per Python worker. The vocabulary is a fixed file of the installation."""
+def transducer(path: str | None = None, pattern: str | None = None, states: int = MAX_STATES, chunks: int = MAX_CHUNKS, keep: bool = True) -> BpeTransducer:
+    """The transducer of a rank file; with ``keep``, built once per Python worker and held as long as that lives.
+
+    The vocabulary is a fixed file of the installation.
+    """
     import public_tokenizers
 
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     pattern = pattern or public_tokenizers.PATTERN
     cache = module_cache("bpe")
     key = (path, pattern, states, chunks)
-    if key not in cache:
+    found = cache.get(key)
+    if found is None:
         with open(path, "rb") as f:
-            cache[key] = BpeTransducer(read_ranks(f.read()), pattern, states, chunks)
-    return cache[key]
+            found = BpeTransducer(read_ranks(f.read()), pattern, states, chunks)
+        if keep:
+            cache[key] = found
+    return found
+
 
 
-DECODE_PIECE = 4096
 
 
-def bpe_encode(df: DataFrame, text: str = "text", path: str | None = None, ids: str = "ids", n_tokens: str = "n_tokens", states: int = MAX_STATES, chunks: int = MAX_CHUNKS) -> DataFrame:
-    """The rows with the token ids and their number; ``states`` and ``chunks`` bound what a worker remembers."""
+def bpe_encode(df: DataFrame, text: str = "text", path: str | None = None, ids: str = "ids", n_tokens: str = "n_tokens", states: int = MAX_STATES, chunks: int = MAX_CHUNKS, keep: bool = True) -> DataFrame:
+    """The rows with the token ids and their number; ``states`` and ``chunks`` bound what a worker remembers.
+
+    Without ``keep`` a task forgets everything at its end, so stages that follow find the memory free.
+    """
 
     def make():
-        t = transducer(path, states=states, chunks=chunks)
+        t = transducer(path, states=states, chunks=chunks, keep=keep)
 
         def run(texts):
-            out = [t.encode(x) for x in texts]
+            with without_collection():
+                out = [t.encode(x) for x in texts]
             return [out, [len(x) for x in out]]
 
         return run
@@ -309,21 +404,11 @@ def bpe_digests(df: DataFrame, text: str = "text", path: str | None = None) -> D
     """Encodes and decodes every text in one pass and keeps digests: n_tokens, ids_sha256, decoded_sha256."""
 
     def make():
-        t = transducer(path)
-        table, names = t.bytes_of, {i: str(i) for i in t.bytes_of}
+        digester = Digester(transducer(path), MAX_CHUNKS)
 
         def run(texts):
-            n, ids_sha, text_sha = [], [], []
-            for x in texts:
-                ids = t.encode(x)
-                pieces = (ids[i : i + DECODE_PIECE] for i in range(0, len(ids), DECODE_PIECE))
-                digest = sha256()
-                for part in decode_stream(table, pieces):
-                    digest.update(part.encode())
-                n.append(len(ids))
-                ids_sha.append(sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest())
-                text_sha.append(digest.hexdigest())
-            return [n, ids_sha, text_sha]
+            with without_collection():
+                return [list(c) for c in zip(*[digester.digests(x) for x in texts])]
 
         return run
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,10 +53,34 @@ def append_columns(
                 arrays = [piece.column(i).cast(arrow.field(i).type) for i in range(len(kept))]
                 arrays += [pa.array(c, arrow.field(len(kept) + i).type) for i, c in enumerate(out)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        f = out = arrays = piece = b = None
+        give_back_memory()
 
     return sent.mapInArrow(run, schema)
 
 
+@contextmanager
+def without_collection() -> Iterator[None]:
+    """No search for cycles meanwhile; for code that makes many small objects and no cycles."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
+def give_back_memory() -> None:
+    """Returns what a task has freed to the system, as its Python worker goes on to serve other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def _pieces(b: pa.RecordBatch, kept: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of about 4 MB each, so that Python objects of one slice stay bounded; one row at least."""
     rows = max(1, int(b.num_rows * most / max(b.nbytes, 1)))
@@ -78,6 +105,8 @@ def flat_rows(df: DataFrame, source: Sequence[str], schema: str | T.StructType,
                         held = []
         if held:
             yield _batch(held, arrow)
+        f = held = piece = b = None
+        give_back_memory()
 
     return df.select(*[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(source)]).mapInArrow(run, schema)
 

@@ -23,7 +23,7 @@ from sievemark.llm.common import append_columns, flat_rows, hashed_sample
 
 BUCKETS = 1 << 14
 SAMPLE_TEXTS = 3000  # rated texts per grade that the model is fitted on
-MAX_WORDS = 400_000  # words whose weight a task remembers
+MAX_WORDS = 150_000  # words whose weight a task remembers
 
 
 def word_features(word: str) -> tuple[int, int]:
