@@ -409,7 +409,11 @@ SQL |= {
     "H13": f"select a.pidcxt_name as erp_context, count(*) as count from {HT} c left join {ALT} a on a.k=c.k group by 1",
     "H14": f"select count(*) as count from {defined(H, 'tc_id', False, WRK)}",
     "H15": f"select g.grp, c.tc_id, z.pitem_revision_id as max_rev_working, e.rdd_id, e.rdd_grp from {defined(H, 'tc_id', False, WRK)} where g.grp<>e.rdd_grp",
-    "H16": f"select g.grp, c.tc_id, z.pitem_revision_id as max_rev_working, f.rdd_id, f.rdd_grp, e.rel_part_id as rel_partid, e.rel_part_grp as rel_partgrp from {defined(H, 'tc_id', False, WRK).replace(' e on e.rv', ' f on f.rv')} join {parts()} e on e.d=f.dpuid where g.grp<>e.rel_part_grp and {UNSTAGED}",
+    # In steps that are worked out one by one, smallest first.
+    "H16": f"with f as materialized (select * from {docs(grp=True)}), p as materialized (select * from {parts()}), u as materialized (select e.* from p e where {UNSTAGED}), "
+    f"g as materialized (select c.tc_id, i.puid, g.grp from {{stg_owner}} c join {LOCAL} i on i.k=c.tc_id join {OWNER} g on g.oid=i.puid), z as materialized (select * from {WRK}), "
+    "r as materialized (select g.grp, g.tc_id, z.pitem_revision_id, f.rdd_id, f.rdd_grp, f.dpuid from g join z on z.ritems_tagu=g.puid join f on f.rv=z.puid) "
+    "select r.grp, r.tc_id, r.pitem_revision_id as max_rev_working, r.rdd_id, r.rdd_grp, u.rel_part_id as rel_partid, u.rel_part_grp as rel_partgrp from r join u on u.d=r.dpuid where r.grp<>u.rel_part_grp",
     "H17": f"select g.grp, i.pitem_id as doc_id, z.pitem_revision_id as max_rev_working, e.rel_part_id, e.rel_part_grp from {related(H, 'tc_id', False, WRK, 'join {pworkspaceobject} o on o.puid=i.puid and o.pobject_type=' + Q + 'Documents' + Q)} where g.grp<>e.rel_part_grp and {UNSTAGED}",
     "H18": f"select c.tc_id, g.grp as item_grp, u.puser_id as item_usr, s.sname as status, z.pitem_revision_id as max_rev_working, h.grp as rev_grp, o.pdate_released, e.rdd_id, e.rdd_grp from {{stg_owner}} c join {LOCAL} i on i.k=c.tc_id join {OWNER} g on g.oid=i.puid join {{ppom_user}} u on u.puid=g.usr join {WRK} z on z.ritems_tagu=i.puid join {OWNER} h on h.oid=z.puid join {{pworkspaceobject}} o on o.puid=z.puid left join {docs(grp=True)} e on e.rv=z.puid left join {STATUS_ANY} s on s.sid=i.puid",
 }
@@ -439,5 +443,10 @@ SQL |= {
     "I19": marked(N, "description", "CNTRL", "tc_id", extra=f" and not {has('description', NL)}"),
     "I20": marked(N, "description", "NEWLINE", "tc_id", NL),
     "I21": profile(f"{NT} c join {DW} w on w.k=c.k", "w.pname", "w.local_site, w.pname", "w.local_site, g.business_unit, g.parent_name, w.pname as grp, g.erps"),
-    "I22": f"select g.grp as item_grp, i.pitem_id, o.pobject_name as item_name, a.pname2 as item_name2, o.pobject_desc as item_desc, r.pitem_revision_id as rev_id, o.pdate_released, q.pobject_name as rev_name, b.pname2 as rev_name2, q.pobject_desc as rev_desc from {{stg_namedesc}} c join {LOCAL} i on i.k=c.tc_id join {OWNER} g on g.oid=i.puid join {{pworkspaceobject}} o on o.puid=i.puid join {{pitemrevision}} r on r.ritems_tagu=i.puid join {{pworkspaceobject}} q on q.puid=r.puid left join {forms(PART_FORMS, 'pname2', 'join')} a on a.fo=i.puid left join {forms(['version_form', 'part_revision_form'], 'pname2', 'join')} b on b.fo=r.puid",
+    "I22": f"with c as materialized (select c.tc_id, i.puid, i.pitem_id, g.grp from {{stg_namedesc}} c join {LOCAL} i on i.k=c.tc_id join {OWNER} g on g.oid=i.puid), "
+    f"a as materialized (select * from {forms(PART_FORMS, 'pname2', 'join')}), b as materialized (select * from {forms(['version_form', 'part_revision_form'], 'pname2', 'join')}), "
+    "o as materialized (select puid, pobject_name, pobject_desc, pdate_released from {pworkspaceobject}), r as materialized (select puid, ritems_tagu, pitem_revision_id from {pitemrevision}), "
+    "k as materialized (select c.*, r.puid as rv, r.pitem_revision_id from c join r on r.ritems_tagu=c.puid) "
+    "select k.grp as item_grp, k.pitem_id, o.pobject_name as item_name, a.pname2 as item_name2, o.pobject_desc as item_desc, k.pitem_revision_id as rev_id, o.pdate_released, q.pobject_name as rev_name, b.pname2 as rev_name2, q.pobject_desc as rev_desc "
+    "from k join o on o.puid=k.puid join o q on q.puid=k.rv left join a on a.fo=k.puid left join b on b.fo=k.rv",
 }

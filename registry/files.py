@@ -28,7 +28,7 @@ def conversion_lines(c):
     rev = (F.col("n_chars") % 3).cast("string")
     full = F.concat_ws("|", item, rev, F.concat(F.lit("DS "), item), F.when(F.col("doc_id") % 4 == 0, "PDF").otherwise("ACADDWG"), F.concat(item, F.lit(" "), rev, F.lit(".pdf")), F.concat(F.lit("new"), F.col("doc_id").cast("string")), F.lit("TRUE"), F.lit("model"))
     short = F.concat_ws("|", item, rev)
-    return d.select(F.when(F.col("doc_id") % 17 == 0, short).otherwise(full).alias("value"))
+    return d.select("doc_id", F.when(F.col("doc_id") % 17 == 0, short).otherwise(full).alias("value"))
 
 
 CONVERSION_SQL = """(select doc_id, 'DOC-'||(doc_id%50) as "itemID", cast(n_chars%3 as varchar) as "revID", case when doc_id%17<>0 then 'DS DOC-'||(doc_id%50) end as ds_name,
@@ -93,12 +93,42 @@ def _target(c):
     return out
 
 
+def _target_dropped(c):
+    """A table that is replaced, columns and all."""
+    spark, name = c["part"].sparkSession, f"target_{uuid.uuid4().hex[:12]}"
+    sinks.write_target(c["part"].select("p_partkey", "p_name"), name, "drop")
+    sinks.write_target(c["part"].select("p_brand", "p_partkey", "p_size"), name, "drop")
+    kept = scratch(c)  # the table goes, its rows stay to be looked at
+    spark.table(name).write.parquet(kept)
+    spark.sql(f"drop table {name}")
+    return spark.read.parquet(kept)
+
+
 def _reports(c):
     folder = scratch(c)
     RU.run_package(PACKAGES["bom"], c["stg_bom"], c, output=folder)
     return c["part"].sparkSession.read.json(f"{folder}/manifest").select("check_id", "rows")
 
 
+REPORTED = ("A01", "A02", "A03", "A08", "A09", "A15", "A57")
+
+
+def _report(check_id, fmt):
+    """The rows of one report of a run, read back from the folder that the manifest names."""
+
+    def run(c):
+        folder, spark, p = scratch(c), c["part"].sparkSession, PACKAGES["item"]
+        RU.run_package(p, c["stg_item"], c, output=folder, output_format=fmt, skip=[k.id for k in p.checks if k.id not in REPORTED])
+        (entry,) = spark.read.json(f"{folder}/manifest").filter(F.col("check_id") == check_id).collect()
+        reader = spark.read.options(**sinks.CSV).schema(p.check(check_id).frame(p.context(c["stg_item"], c)).schema) if fmt == "csv" else spark.read
+        rows = reader.format(fmt).load(f"{folder}/{entry['report']}")
+        if not entry["report"].endswith(f" - Rows {entry['rows']}") or [x for x in rows.columns if fmt != "csv" and x != x.upper()]:
+            raise ValueError(f"wrong name or heading: {entry['report']}")
+        return rows
+
+    return run
+
+
 def _input_file(c):
     folder = scratch(c)
     ctx = PACKAGES["item"].context(c["stg_item"], c)
@@ -123,8 +153,10 @@ def _finished(c):
 def _chunks(c):
     folder = scratch(c)
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    sinks.write_chunks(SP.split_by_size(c["lineitem"].select(*order), 9000, order), folder)
-    return c["part"].sparkSession.read.option("header", True).option("sep", "|").option("inferSchema", True).csv(folder).groupBy(F.col("chunk").cast("bigint").alias("chunk")).agg(F.count("*").alias("n"))
+    sinks.write_chunks(SP.split_by_size(c["lineitem"].select(*order), 9000, order), folder, order=order)
+    schema = ", ".join(f"{x} bigint" for x in order)
+    read = c["part"].sparkSession.read.option("header", True).option("sep", "|").schema(f"{schema}, chunk bigint").csv(folder)
+    return read.select(*order, "chunk")
 
 
 def _export(c):
@@ -137,7 +169,7 @@ def _pass_fail(c):
     folder = scratch(c)
     rows = c["orders"].select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "pass").otherwise("fail").alias("status"))
     sinks.write_pass_fail(rows, folder)
-    return c["part"].sparkSession.read.json(folder).groupBy("status").agg(F.count("*").alias("n"))
+    return c["part"].sparkSession.read.json(folder).select("o_orderkey", "status")
 
 
 def _drop_folder(c):
@@ -177,12 +209,14 @@ OPS = {
     "S07_record_file": (_records, "select p_partkey::varchar as itemid, p_name as name, case when p_size%2=1 then 'x' end as uom from part"),
     "S08_text_lines": (_lines, "select p_partkey||'|'||p_name as value, p_name as second from part"),
     "S09_table_sink": (_target, "select p_partkey, p_name from part union all select p_partkey, p_name from part where p_partkey%2=0"),
+    "S09_table_sink_drop": (_target_dropped, "select p_brand, p_partkey, p_size from part"),
     "S10_report_sink": (_reports, _manifest),
+    **{f"S10_report_rows_{i}_{fmt}": (_report(i, fmt), CHECK_SQL[i]) for i, fmt in (("A01", "parquet"), ("A03", "parquet"), ("A08", "csv"), ("A09", "orc"), ("A57", "csv"))},
     "S11_input_file": (_input_file, f"select inp as value from ({CHECK_SQL['A59']}) where inp is not null"),
     "S12_run_log": (_log, _logged),
     # Without the column rdd_id five checks fail, all others are finished.
     "S13_finished_checks": (_finished, " union all ".join(f"select '{k.id}' as check_id, '{k.title}' as title" for k in PACKAGES["status"].checks if k.id not in ("G03", "G05", "G07", "G08", "G18"))),
-    "S14_split_sink": (_chunks, "select chunk, count(*) as n from (select (row_number() over ()-1)//9000 as chunk from lineitem) group by 1"),
+    "S14_split_sink": (_chunks, "select l_orderkey, l_linenumber, l_partkey, l_suppkey, (row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey)-1)//9000 as chunk from lineitem"),
     "S15_export": (_export, "select * from {stg_owner}"),
-    "S16_pass_fail": (_pass_fail, "select case when o_orderstatus='F' then 'pass' else 'fail' end as status, count(*) as n from orders group by 1"),
+    "S16_pass_fail": (_pass_fail, "select o_orderkey, case when o_orderstatus='F' then 'pass' else 'fail' end as status from orders"),
 }

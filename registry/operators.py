@@ -14,6 +14,7 @@ from sievemark.functions import patterns as P
 from sievemark.functions import text as T
 from sievemark.functions import values as V
 from sievemark.operators import keyed as N
+from sievemark.operators import ordered as OR
 from sievemark.operators import parts as R
 from sievemark.operators import paths as K
 from sievemark.operators import reference as S
@@ -115,6 +116,7 @@ ops(
 )
 
 # ---------------------------------------------------------------- windows
+SHIPPED = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 ops(
     {
         "W01_count_per_key": (lambda c: N.count_per_key(c["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey"], "lines"), "select l_orderkey, l_linenumber, l_partkey, count(*) over (partition by l_orderkey) as lines from lineitem"),
@@ -124,6 +126,19 @@ ops(
         "W05_latest_revision": (lambda c: N.latest_per_key(c["mst_rev"], "item_puid", "created", "rev", ["puid", "rev"]), "select item_puid, puid, rev from {mst_rev} qualify row_number() over (partition by item_puid order by created desc nulls first, rev desc)=1"),
         "W06_majority": (lambda c: N.majority_value(c["item_all_site"], "pname"), "select pname from {item_all_site} group by 1 order by count(*) desc, pname limit 1"),
         "W07_list_per_key": (lambda c: c["pitemrevision"].select("puid", "ritems_tagu").join(N.value_lists(c["pitemrevision"].select(F.col("ritems_tagu").alias("item"), "pitem_revision_id"), ["item"], "pitem_revision_id", "revs"), F.col("ritems_tagu") == F.col("item")).select("puid", "revs"), "with l as (select ritems_tagu as item, string_agg(pitem_revision_id, ', ' order by pitem_revision_id) as revs from {pitemrevision} group by 1) select r.puid, l.revs from {pitemrevision} r join l on l.item=r.ritems_tagu"),
+        "W08_previous_record": (
+            lambda c: OR.with_previous(c["lineitem"].select(*SHIPPED), ["l_orderkey", "l_suppkey"], SHIPPED, "before_"),
+            f"select {', '.join(SHIPPED)}, row_number() over w as position, lag(l_orderkey) over w as before_l_orderkey, lag(l_suppkey) over w as before_l_suppkey from lineitem window w as (order by {', '.join(SHIPPED)})",
+        ),
+        # Deletes are sent at every change of the item, releases where item and revision both change.
+        "W08_key_changes": (
+            lambda c: OR.key_changes(c["lineitem"].select(*SHIPPED), ["l_orderkey"], SHIPPED),
+            f"select * exclude (b) from (select {', '.join(SHIPPED)}, row_number() over w as position, lag(l_orderkey) over w as b from lineitem window w as (order by {', '.join(SHIPPED)})) where position=1 or l_orderkey is distinct from b",
+        ),
+        "W08_both_change": (
+            lambda c: OR.key_changes(c["lineitem"].select(*SHIPPED), ["l_orderkey", "l_linenumber"], SHIPPED, every=True),
+            f"select * exclude (b, d) from (select {', '.join(SHIPPED)}, row_number() over w as position, lag(l_orderkey) over w as b, lag(l_linenumber) over w as d from lineitem window w as (order by {', '.join(SHIPPED)})) where l_orderkey is distinct from b and l_linenumber is distinct from d",
+        ),
         "W08_first_record": (lambda c: N.first_per_key(c["lineitem"], ["l_partkey"], "l_orderkey"), "select l_partkey, min(l_orderkey) as first_position from lineitem group by 1"),
     }
 )
@@ -131,9 +146,15 @@ ops(
 # ---------------------------------------------------------------- sorts and sets
 ops(
     {
-        "O01_sort": (lambda c: A.ordered(c["stg_bom"].select("parent_tc_id", "seq_no", "quantity"), ["-#quantity", "seq_no", "parent_tc_id"]), "select parent_tc_id, seq_no, quantity from {stg_bom}"),
+        "O01_sort": (
+            lambda c: SP.with_position(A.ordered(c["stg_bom"].select("parent_tc_id", "seq_no", "quantity"), ["-#quantity", "seq_no", "parent_tc_id", "quantity"])),
+            "select parent_tc_id, seq_no, quantity, row_number() over (order by try_cast(quantity as decimal(38,10)) desc nulls first, seq_no nulls last, parent_tc_id nulls last, quantity nulls last) as position from {stg_bom}",
+        ),
         "O02_top_per_group": (lambda c: N.latest_per_key(c["orders"], "o_custkey", "o_orderdate", "o_orderkey", ["o_orderkey", "o_totalprice"]), "select o_custkey, o_orderkey, o_totalprice from orders qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc)=1"),
-        "O03_ordered_groups": (lambda c: D.grouped_records(RD.conversion_records(files.conversion_lines(c))), "select substr(a, 1, instr(a,'|')-1) as \"itemID\", rev as \"revID\", count(*) as records from (select concat('DOC-',cast(doc_id%50 as varchar),'|') as a, cast(n_chars%3 as varchar) as rev from documents) group by 1, 2"),
+        "O03_ordered_groups": (
+            lambda c: D.grouped_records(RD.conversion_records(files.conversion_lines(c), ["doc_id"]), "doc_id", 10).select("doc_id", "itemID", "revID", "ds_name", "group_no", "position", "part"),
+            f"""select doc_id, "itemID", "revID", ds_name, dense_rank() over (order by "itemID", "revID") as group_no, row_number() over g as position, (row_number() over g - 1)//10 as part from {files.CONVERSION_SQL} window g as (partition by "itemID", "revID" order by ds_name nulls first, doc_id)""",
+        ),
         "U01_union_ids": (lambda c: U.id_union(c["stg_bom"], {"Assembly": T.id_key("parent_tc_id"), "Component": T.id_key("child_tc_id")}), "select upper(parent_tc_id) as tc_id, 'Assembly' as type from {stg_bom} union select upper(child_tc_id), 'Component' from {stg_bom}"),
         "U02_union_by_name": (lambda c: U.union_by_name([c["part"].select("p_partkey", "p_name"), c["part"].select("p_partkey", "p_brand")]), "select p_partkey, p_name, p_brand from (select p_partkey, p_name, null as p_brand from part union all select p_partkey, null, p_brand from part)"),
         "U03_union_distinct": (lambda c: U.union_distinct([c["orders"], c["orders"].withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 3 == 0, "X").otherwise(F.col("o_orderstatus")))]), "select * from orders union select * replace (case when o_orderkey%3=0 then 'X' else o_orderstatus end as o_orderstatus) from orders"),
@@ -244,11 +265,9 @@ PLAN_MESSAGE = "case when not dated then 'date cannot be read' when creates then
 # Every request as a list of words, one statement for each kind.
 _NULLS = lambda names: "||chr(9)||".join(f"'{k} null'" for k in names.split())
 _SPEC = "NOV4_HEIGHT NOV4_LENGTH NOV4_WIDTH NOV4_LWH_UNITS NOV4_VOLUME NOV4_VOL_UNITS NOV4_WEIGHT NOV4_WGT_UNITS"
-_NEW = "'ITEMID '||itemid||chr(9)||'ITEMNAME '||x.name||chr(9)||'ITEMDESC '||replace(x.description,chr(10),'')"
+_NEW = "'ITEMID '||itemid||chr(9)||'ITEMNAME '||name||chr(9)||'ITEMDESC '||replace(description,chr(10),'')"
 _CREATED = "'DATE 31-Jan-20 10:20:30'"
-REQUESTS_SQL = (
-    PLAN
-    + f""", q as (select d.*, {PLAN_ACTION} as action, x.name, x.description from d join (select position, name, description from {LOAD_RECORDS}) x using (position))
+REQUESTS_SQL = f"""{PLAN}, q as (select d.*, {PLAN_ACTION} as action, x.name, x.description from d join (select position, name, description from {LOAD_RECORDS}) x using (position))
 select action, position::varchar as position, case action
   when 'create_part' then 'FUNCTION addPartItem'||chr(9)||{_NEW}||chr(9)||'REVISION '||revision||chr(9)||'RSONE_ITEMTYPE '||item_type||chr(9)||{_NULLS("RSONE_UOM RSONE_UOW REV_WEIGHT NAME2 PARTSUBTYPE LIFECYCLE SITES REVCOMMENTS ITEM_UOM NOV4_MIS_TYPE NOV4_MIS_SERIALIZE " + _SPEC)}||chr(9)||{_CREATED}
   when 'create_document' then 'FUNCTION addDocumentsItem'||chr(9)||'ITEMTYPE null'||chr(9)||{_NEW}||chr(9)||'CATEGORY null'||chr(9)||'REVISION '||revision||chr(9)||'SEQNO 001'||chr(9)||'SHEET null'||chr(9)||'PUBLISHWEB false'||chr(9)||'PUBLISHPP false'||chr(9)||'PULLDRAWING false'||chr(9)||{_NULLS("LIFECYCLE SITES REVCOMMENTS")}||chr(9)||{_CREATED}
@@ -257,7 +276,6 @@ select action, position::varchar as position, case action
 union all select 'delete', itemid, 'FUNCTION deleteItem'||chr(9)||'ITEMID '||itemid from (select distinct itemid from {LOAD_RECORDS})
 union all select case when done then 'fail' else 'release' end, itemid||'/'||revision, case when not done then 'FUNCTION releaseRevision'||chr(9)||'ITEMID '||itemid||chr(9)||'REVISION '||revision||chr(9)||'RELEASESTATUS null'||chr(9)||'RELEASEDATE 01-Feb-20 00:00:00' end
   from (select r.*, exists (select 1 from {KNOWN} x where x.itemid=r.itemid and r.revision='02' and x.released) as done from (select distinct itemid, coalesce(nullif(revision,''),'01') as revision from {LOAD_RECORDS} where date_created<>'2020-01-01') r)"""
-).replace("x.name", "name").replace("x.description", "description").replace("as action, name, description from d", "as action, x.name, x.description from d")
 
 
 def load_plan(c):
@@ -323,7 +341,7 @@ OPS["F26_log_line"] = (
     lambda c: D.conversion_log(OPS["L20_match_datasets"][0](c)).select("itemID", "status", "log"),
     f"""select "itemID", case when ds_puid is null then 'fail' else 'pass' end as status, concat_ws('|', "itemID", nullif("revID",''), nullif(ds_name,''), nullif(ds_type,''), nullif(file_name,''), nullif(ds_name_new,''), nullif(monochrome,''), nullif(layout,''), ds_puid, case when ds_puid is null then 'Error: '||coalesce(message,'None') else 'Info: Created' end) as log from ({OPS['L20_match_datasets'][1]})""",
 )
-OPS["F25_response_flags"] = (lambda c: LP.parse_responses(response_lines(c)).groupBy("ok", "released").agg(F.count("*").alias("n")), "select p_partkey%5<>0 as ok, p_size%2=0 as released, count(*) as n from part group by 1, 2")
+OPS["F25_response_flags"] = (lambda c: LP.parse_responses(response_lines(c)).select("p_partkey", "ok", "released"), "select p_partkey, p_partkey%5<>0 as ok, p_size%2=0 as released from part")
 
 CONTRACT_SQL = " union all ".join(
     f"select '{f.name}' as column_name, " + ("null::bigint" if f.name == "CHILD_GID_ID" else f"(select count({f.name.lower()}) from {{stg_bom}})") + " as filled"
@@ -349,6 +367,10 @@ ops(
         ),
         "L02_clean": (lambda c: ST.clean(c["stg_doc"].select("doc_id", "name", "document_status", "path_location")), "select upper(trim(doc_id)) as DOC_ID, name as NAME, case lower(trim(document_status)) when 'active' then 'ACTIVE' when 'obsolete' then 'Obsolete' end as DOCUMENT_STATUS, path_location as PATH_LOCATION from {stg_doc}"),
         "L03_type_dates": (lambda c: ST.type_and_profile(c["orders"].select(F.col("o_orderkey").cast("string").alias("ID"), F.date_format("o_orderdate", "MM/dd/yyyy HH:mm:ss").alias("ORDER_DATE"), F.when(F.col("o_orderkey") % 7 == 0, "soon").otherwise("2020-01-01").alias("DUE_DATE"))).df, "select o_orderkey::varchar as ID, date_trunc('second', o_orderdate) as ORDER_DATE, case when o_orderkey%7=0 then 'soon' else '2020-01-01' end as DUE_DATE from orders"),
+        "L03_widths": (
+            lambda c: ST.column_types(ST.type_and_profile(c["stg_item"].selectExpr("tc_id", "name", "cast(null as string) as long_description", "cast(null as string) as path", "description as note_clob", "'2020-01-01' as made_date", "'soon' as due_date"))),
+            "select 'tc_id' as column_name, 'TEXT' as type, max(length(tc_id))+5 as width from {stg_item} union all select 'name', 'TEXT', max(length(name))+5 from {stg_item} union all select 'long_description', 'TEXT', 555 union all select 'path', 'TEXT', 55 union all select 'note_clob', 'CLOB', null union all select 'made_date', 'DATE', null union all select 'due_date', 'TEXT', null",
+        ),
         "L04_clone": (lambda c: ST.clone(RD.load_rows(c["stg_docrel"].withColumn("loadidentifier", F.substring("doc_id", 12, 1)), "3")).df, "select distinct upper(trim(item_id)) as ITEM_ID, revision as REVISION, upper(trim(doc_id)) as DOC_ID, relationship_type as RELATIONSHIP_TYPE, '3' as LOADIDENTIFIER from {stg_docrel} where substr(doc_id,12,1)='3'"),
         "S03_clone_rows": (lambda c: RD.load_rows(c["stg_bom"].withColumn("loadidentifier", F.col("parent_revision")), "02"), "select *, parent_revision as loadidentifier from {stg_bom} where parent_revision='02'"),
         "L22_contract": (lambda c: ST.contract_profile(c["stg_bom"].drop("child_gid_id"), "bomload"), CONTRACT_SQL),
@@ -362,20 +384,14 @@ def site_slices(c):
     spark = c["orders"].sparkSession
 
     def failing():
-        raise RuntimeError("ORA-16000: database open for read-only access")
+        """Fails while its rows are read, not when it is opened."""
+        broken = F.raise_error(F.lit("ORA-16000: database open for read-only access")).cast("bigint")
+        return c["orders"].withColumn("o_orderkey", F.when(F.col("o_orderkey") % 1000 == 3, broken).otherwise(F.col("o_orderkey")))
 
     slices = {s: (lambda i=i: c["orders"].filter(F.pmod("o_orderkey", F.lit(5)).isin(i, (i + 1) % 5))) for i, s in enumerate(E.ALL_SITES)}
     return spark, {**slices, "houstby": failing, "houprod": slices["houstby"]}
 
 
-def _site_rows(c):
-    """Status of every asked site with the rows it gave."""
-    spark, readers = site_slices(c)
-    status = E.extract(spark, readers).status
-    counts = [readers[s]().agg(F.count("*").alias("n_rows")).select(F.lit(s).alias("_site"), "n_rows") for s in readers if s != "houstby"]
-    return status.join(U.union_by_name(counts), F.col("site") == F.col("_site"), "left").drop("_site")
-
-
 ops(
     {
         "L05_extract": (lambda c: E.extract(*site_slices(c)).df, "select distinct * from orders"),
@@ -423,7 +439,10 @@ for _name, _p in PACKAGES.items():
         _package_counts(_name),
         " union all ".join(f"select '{k.id}' as check_id, (select count(*) from ({CHECK_SQL[k.id]})) as result" for k in _p.checks),
     )
-OPS["L08_item_summary"] = (lambda c: RU.summary(PACKAGES["item"], c["stg_item"], c).groupBy("check_id").agg(F.count("*").alias("rows")), " union all ".join(f"select '{k.id}' as check_id, (select count(*) from ({CHECK_SQL[k.id]})) as rows" for k in PACKAGES["item"].checks if k.summary))
+OPS["L08_item_summary"] = (
+    lambda c: RU.summary(PACKAGES["item"], c["stg_item"], c),
+    " union all ".join(f"select '{k.id}' as check_id, to_json(t)::varchar as row from (select columns(*)::varchar from ({CHECK_SQL[k.id]})) t" for k in PACKAGES["item"].checks if k.summary),
+)
 OPS["L10_input_lines"] = (
     lambda c: RU.input_lines(PACKAGES["item"].check("A57").frame(_context(c, "item"))),
     f"select inp as INPUT from ({CHECK_SQL['A57']})",

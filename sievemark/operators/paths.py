@@ -58,25 +58,39 @@ def item_names(refs: Refs) -> DataFrame:
     return pick(refs["pitem"], named_puid="puid", named_id="pitem_id")
 
 
+def only(df: DataFrame, key: str, wanted: DataFrame | None) -> DataFrame:
+    """Rows of a master path whose key is among the (one-column) ``wanted`` keys; all rows without any.
+
+    Comes before what de-duplicates, lists or ranks rows of the path, so that work is done for staged items only.
+    The plan of ``wanted`` is worked out once more, so it should be a short one.
+    """
+    if wanted is None:
+        return df
+    keys = wanted.toDF("_wanted").distinct()  # a key that many staged rows have is sent once
+    return df.join(keys, F.col(key) == F.col("_wanted"), "left_semi")
+
+
 def revisions(refs: Refs) -> DataFrame:
     return pick(refs["pitemrevision"], rev_puid="puid", rev_item="ritems_tagu", rev_id="pitem_revision_id")
 
 
-def revision_dates(refs: Refs) -> DataFrame:
+def revision_dates(refs: Refs, of_items: DataFrame | None = None) -> DataFrame:
     """Revisions with creation date (application object) joined in."""
     dates = pick(refs["ppom_application_object"], app_puid="puid", rev_created="pcreation_date")
-    return revisions(refs).join(dates, F.col("rev_puid") == F.col("app_puid")).drop("app_puid")
+    return only(revisions(refs), "rev_item", of_items).join(dates, F.col("rev_puid") == F.col("app_puid")).drop("app_puid")
 
 
-def latest_revisions(refs: Refs, kind: str) -> DataFrame:
+def latest_revisions(refs: Refs, kind: str, of_items: DataFrame | None = None) -> DataFrame:
     """Latest revision per item: ``created`` over all, ``released`` or ``working`` by release date.
 
+    With ``of_items``, of these items only: the others are left out before revisions are ranked.
+
     A table ``z_max_rev_<kind>`` of the catalog is used if there is one.
     """
     given = f"z_max_rev_{kind}"
     if given in refs:
         return pick(refs[given], last_puid="puid", last_item="ritems_tagu", last_rev="pitem_revision_id")
-    revs = revision_dates(refs)
+    revs = revision_dates(refs, of_items)
     if kind != "created":
         wso = pick(refs["pworkspaceobject"], wso_puid="puid", wso_released="pdate_released")
         test = F.col("wso_released").isNotNull() if kind == "released" else F.col("wso_released").isNull()
@@ -139,10 +153,10 @@ def related_documents(refs: Refs, type_name=DEFINING_DOCUMENT, with_group=False)
     return out
 
 
-def related_parts(refs: Refs, type_name=DEFINING_DOCUMENT, with_group=True) -> DataFrame:
+def related_parts(refs: Refs, type_name=DEFINING_DOCUMENT, with_group=True, of_documents: DataFrame | None = None) -> DataFrame:
     """Document -> parts whose revisions relate to it (the reverse direction), each part once."""
     out = (
-        relations(refs, type_name)
+        only(relations(refs, type_name), "secondary", of_documents)
         .join(revisions(refs), F.col("primary") == F.col("rev_puid"))
         .select("secondary", "rev_item")
         .distinct()

@@ -22,7 +22,7 @@ def with_item(chk: DataFrame, refs: K.Refs, col: str, local=True, upper=True) ->
 
 def with_revision(rows: DataFrame, refs: K.Refs, kind: str, how="inner") -> DataFrame:
     """Joined with the latest released, working or created revision of the item."""
-    return rows.join(K.latest_revisions(refs, kind), F.col("item_puid") == F.col("last_item"), how)
+    return rows.join(K.latest_revisions(refs, kind, rows.select("item_puid")), F.col("item_puid") == F.col("last_item"), how)
 
 
 def with_given_revision(rows: DataFrame, refs: K.Refs, col: str, how="inner", ignore_case=False) -> DataFrame:
@@ -35,6 +35,14 @@ def with_owner(rows: DataFrame, refs: K.Refs, of: str = "item_puid", name="grp")
     return rows.join(groups, F.col(of) == F.col(f"_{name}_of")).drop(f"_{name}_of")
 
 
+def with_documents(rows: DataFrame, refs: K.Refs, type_name=K.DEFINING_DOCUMENT) -> DataFrame:
+    """Joined with the related documents of the latest revision and their groups, hop by hop from the rows."""
+    out = rows.join(K.relations(refs, type_name), F.col("last_puid") == F.col("primary"))
+    out = out.join(K.item_names(refs), F.col("secondary") == F.col("named_puid"))
+    out = out.withColumnsRenamed({"secondary": "rel_doc", "named_id": "rdd_id"}).drop("primary", "named_puid")
+    return with_owner(out, refs, "rel_doc", "rdd_grp")
+
+
 def relation_lookup(
     chk: DataFrame, refs: K.Refs, col: str, kind: str, given: str | None = None, upper=True, type_name=K.DEFINING_DOCUMENT
 ) -> DataFrame:
@@ -50,7 +58,7 @@ def defined_items(chk: DataFrame, refs: K.Refs, col: str, kind: str, upper=True)
     """Staged items with owning group, latest revision and its defining documents with their groups."""
     rows = with_owner(with_item(chk, refs, col, upper=upper), refs)
     rows = with_revision(rows, refs, kind)
-    return rows.join(K.related_documents(refs, with_group=True), F.col("last_puid") == F.col("rel_rev"))
+    return with_documents(rows, refs)
 
 
 def cross_group_documents(chk: DataFrame, refs: K.Refs, col: str, kind: str, show: Sequence[str | Column], upper=True) -> DataFrame:
@@ -65,14 +73,16 @@ def cross_group_parts(
     rows = with_owner(with_item(chk, refs, col, upper=upper), refs)
     if only is not None:
         rows = only(rows)
-    rows = with_revision(rows, refs, kind).join(K.related_parts(refs), F.col("item_puid") == F.col("part_doc"))
+    # Documents without related parts fall out before their revisions are ranked.
+    rows = rows.join(K.related_parts(refs, of_documents=rows.select("item_puid")), F.col("item_puid") == F.col("part_doc"))
+    rows = with_revision(rows, refs, kind)
     return rows.filter(F.col("grp") != F.col("rel_part_grp")).select(*show)
 
 
 def cross_group_second_parts(chk: DataFrame, refs: K.Refs, col: str, kind: str, show: Sequence[str | Column], upper=True) -> DataFrame:
     """Two steps: item to its defining document to the other parts of that document, groups differing."""
     rows = defined_items(chk, refs, col, kind, upper)
-    rows = rows.join(K.related_parts(refs), F.col("rel_doc") == F.col("part_doc"))
+    rows = rows.join(K.related_parts(refs, of_documents=rows.select("rel_doc")), F.col("rel_doc") == F.col("part_doc"))
     return rows.filter(F.col("grp") != F.col("rel_part_grp")).select(*show)
 
 
@@ -87,9 +97,12 @@ def contexts_contained(chk: DataFrame, alt: DataFrame, left: str, right: str, on
     The flag column is 1 where the right item lacks the context, else NULL.
     """
     pairs = chk.select(left, right).distinct()
-    lefts = alt.select(T.id_key("pitem_id").alias("_lkey"), F.col("pidcxt_name").alias("sup_cxt")).distinct()
+    # Alternate ids of staged items only, before they are made distinct and listed.
+    alt = alt.select("pitem_id", "pidcxt_name", T.id_key("pitem_id").alias("_akey"))
+    of_left, alt = K.only(alt, "_akey", pairs.select(T.id_key(left))), K.only(alt, "_akey", pairs.select(T.id_key(right)))
+    lefts = of_left.select(F.col("_akey").alias("_lkey"), F.col("pidcxt_name").alias("sup_cxt")).distinct()
     wanted = pairs.join(lefts, T.id_key(left) == F.col("_lkey")).select(left, "sup_cxt", right).distinct()
-    has = alt.select(T.id_key("pitem_id").alias("_rkey"), F.col("pidcxt_name").alias("_rcxt")).distinct()
+    has = alt.select(F.col("_akey").alias("_rkey"), F.col("pidcxt_name").alias("_rcxt")).distinct()
     found = wanted.join(has, (T.id_key(right) == F.col("_rkey")) & (F.col("sup_cxt") == F.col("_rcxt")), "left")
     nomatch = F.when(F.col("_rcxt").isNull(), F.lit(1)).alias("is_nomatch")
     lists = value_lists(alt.select("pitem_id", "pidcxt_name"), ["pitem_id"], "pidcxt_name", "sur_cxt_list", sep=",")

@@ -76,10 +76,10 @@ def latest_created_differs(c: Context):
     columns = c.chk.columns
     staged = c.chk.groupBy(*columns).agg(F.count("*").alias("_n")).withColumn("_key", T.id_key("doc_id"))
     per_pair = staged.groupBy("_key", "revision").agg(F.sum("_n").alias("_copies"))
-    pairs = per_pair.join(K.items(c.refs, local=True), F.col("_key") == F.col("item_key"))
-    pairs = S.delta_update(L.with_revision(pairs, c.refs, "created"), "last_rev", "revision")
+    items = per_pair.join(K.items(c.refs, local=True), F.col("_key") == F.col("item_key"))
+    pairs = S.delta_update(L.with_revision(items, c.refs, "created"), "last_rev", "revision")
     pairs = pairs.select("_key", "revision", "_copies", "item_puid", F.col("last_rev").alias("doc_rev_latest"))
-    listed = pairs.join(K.revision_dates(c.refs), F.col("item_puid") == F.col("rev_item"))
+    listed = pairs.join(K.revision_dates(c.refs, items.select("item_puid")), F.col("item_puid") == F.col("rev_item"))
     # Items of the same key are listed on their own; equal lists of one key count once.
     keys = ["_key", "revision", "_copies", "item_puid", "doc_rev_latest"]
     lists = N.value_lists(listed, keys, "rev_id", "doc_rev_list", order=["rev_created"], copies=F.col("_copies"))

@@ -44,7 +44,7 @@ def superseded(c: Context):
 
 def not_released(c: Context):
     rows = S.id_counts(c.chk, "tc_id", upper=False).join(K.items(c.refs), F.col("_id") == F.col("item_key"))
-    return S.joined_count(rows.join(K.latest_revisions(c.refs, "released"), F.col("item_puid") == F.col("last_item"), "left_anti"))
+    return S.joined_count(rows.join(K.latest_revisions(c.refs, "released", rows.select("item_puid")), F.col("item_puid") == F.col("last_item"), "left_anti"))
 
 
 def context_frequency(c: Context):

@@ -74,11 +74,11 @@ def cross_parts(c: Context):
 def backup(c: Context):
     dw = K.master(c.refs)
     rows = c.chk.select("tc_id").distinct().join(dw, F.col("tc_id") == F.col("dw_key"))
-    rows = rows.join(K.items(c.refs, local=True), F.col("dw_puid") == F.col("item_puid"))
-    rows = L.with_revision(rows, c.refs, "working")
+    staged = rows.join(K.items(c.refs, local=True), F.col("dw_puid") == F.col("item_puid"))
+    rows = L.with_revision(staged, c.refs, "working")
     documents = K.related_documents(c.refs).select("rel_rev", "rdd_id").distinct()
     rows = rows.join(documents, F.col("last_puid") == F.col("rel_rev"), "left")
-    parts = K.related_parts(c.refs, with_group=False)
+    parts = K.related_parts(c.refs, with_group=False, of_documents=staged.select("item_puid"))
     rows = rows.join(parts, F.col("item_puid") == F.col("part_doc"), "left")
     shown = [F.col(x).alias(x[3:]) for x in dw.columns if x != "dw_key"]
     return rows.select(*shown, F.col("last_rev").alias("max_rev_working"), "rdd_id", F.col("rel_part_id").alias("related_part")).distinct()

@@ -48,7 +48,7 @@ def not_released(side):
 
     def make(c: Context):
         rows = S.id_counts(c.chk, col, distinct=distinct).join(K.items(c.refs), F.col("_id") == F.col("item_key"))
-        rows = rows.join(K.latest_revisions(c.refs, "released"), F.col("item_puid") == F.col("last_item"), "left_anti")
+        rows = rows.join(K.latest_revisions(c.refs, "released", rows.select("item_puid")), F.col("item_puid") == F.col("last_item"), "left_anti")
         return S.joined_count(rows)
 
     return make

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.operators.ordered import ordered_groups
 from sievemark.sources.readers import CONVERSION_FIELDS
 
 NO_FILE = "No dataset file found"
@@ -45,9 +46,13 @@ def match_datasets(records: DataFrame, services: DataFrame) -> DataFrame:
     return rows.withColumn("ds_puid", puid).select(*CONVERSION_FIELDS, "ds_puid", F.when(F.col("ds_puid").isNull(), message).alias("message"))
 
 
-def grouped_records(records: DataFrame) -> DataFrame:
-    """The item revisions the service is asked for, each once, with its number of records."""
-    return records.groupBy("itemID", "revID").agg(F.count("*").alias("records"))
+def grouped_records(records: DataFrame, place: str, part_rows: int = 100_000) -> DataFrame:
+    """Records by item revision, then data set name, records of one name as they came.
+
+    Adds the number of the group, the position in it and, for a group of more than ``part_rows`` records, its part:
+    the service is asked once per group, and the records of a part are sent one after the other.
+    """
+    return ordered_groups(records, ["itemID", "revID"], ["ds_name", place], part_rows)
 
 
 def conversion_requests(matched: DataFrame) -> DataFrame:

@@ -33,10 +33,10 @@ KINDS = {
 
 @dataclass
 class StagedTable:
-    """A staged table with the column widths of its text columns and the date columns left as text."""
+    """A staged table with the column widths of its text columns (None: unbounded) and the date columns left as text."""
 
     df: DataFrame
-    widths: dict[str, int]
+    widths: dict[str, int | None]
     untyped_dates: list[str]
 
 
@@ -82,13 +82,28 @@ def type_and_profile(df: DataFrame) -> StagedTable:
     return StagedTable(typed, widths, bad)
 
 
-def text_width(name: str, longest: int | None) -> int:
-    """Column width of a text column: longest value plus a margin, a fixed width if all cells are blank."""
+def text_width(name: str, longest: int | None) -> int | None:
+    """Column width of a text column: longest value plus a margin, a fixed width if all cells are blank.
+
+    Columns with ``CLOB`` in their name hold texts of any length and have none.
+    """
+    if "CLOB" in name.upper():
+        return None
     if longest:
         return longest + MIN_SPARE
     return BLANK_DESCRIPTION_WIDTH if "DESCRIPTION" in name.upper() else BLANK_WIDTH
 
 
+def column_types(staged: StagedTable) -> DataFrame:
+    """(column_name, type, width): what a database table for the staged rows needs."""
+    rows = []
+    for f in staged.df.schema.fields:
+        width = staged.widths.get(f.name)
+        kind = "CLOB" if f.name in staged.widths and width is None else "TEXT" if f.name in staged.widths or f.name in staged.untyped_dates else "DATE"
+        rows.append((f.name, kind, width))
+    return staged.df.sparkSession.createDataFrame(rows, "column_name string, type string, width int")
+
+
 def combine(inputs: Sequence[DataFrame], join_on: Sequence[str] | None = None) -> DataFrame:
     """Several inputs as one: full outer join on shared keys, or rows under each other by column name."""
     if len(inputs) > 1 and join_on:

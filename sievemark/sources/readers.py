@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,10 +76,11 @@ def split_fields(lines: DataFrame, sep: str) -> DataFrame:
     return lines.withColumn("fields", F.split("value", "\\Q" + sep + "\\E"))
 
 
-def conversion_records(lines: DataFrame) -> DataFrame:
+def conversion_records(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Pipe-separated records of eight fields; missing fields are NULL, in-place rules per field.
 
-    The first missing field ends a record, so the fields after it are NULL as well.
+    The first missing field ends a record, so the fields after it are NULL as well. ``keep`` names columns of the
+    lines that stay, such as their place.
     """
     parts = F.split("value", r"\|")
     raw = [F.get(parts, F.lit(i)) for i in range(len(CONVERSION_FIELDS))]
@@ -86,7 +88,7 @@ def conversion_records(lines: DataFrame) -> DataFrame:
     cols["file_name"] = service_file_name(cols["file_name"])
     cols["monochrome"] = F.lower(cols["monochrome"])
     cols["layout"] = F.upper(cols["layout"])
-    return lines.select(*[c.alias(n) for n, c in cols.items()])
+    return lines.select(*keep, *[c.alias(n) for n, c in cols.items()])
 
 
 def service_file_name(c):
@@ -101,4 +103,6 @@ def newest_file(spark: SparkSession, folder: str, fmt: str = "csv", schema=None)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "modificationTime")
     newest = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("newest")).first()["newest"]
     reader = spark.read.format(fmt).option("header", "true") if fmt == "csv" else spark.read.format(fmt)
-    return (reader.schema(schema) if schema is not None else reader).load(newest if newest is not None else folder)
+    # Paths are read as patterns, so characters with a meaning in patterns are escaped.
+    path = folder if newest is None else re.sub(r"([\[\]{}*?\\])", r"\\\1", newest)
+    return (reader.schema(schema) if schema is not None else reader).load(path)

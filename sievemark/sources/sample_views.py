@@ -217,7 +217,7 @@ select r.puid as puid, r.item_puid as ritems_tagu, r.rev as pitem_revision_id fr
 
 VIEWS["pworkspaceobject"] = """
 select m.puid as puid, case when m.k%12=0 then concat(m.nm,' X') when m.k%12=5 and m.is_doc=0 then upper(replace(m.nm,' ','-')) when m.k%12=5 then replace(m.nm,' ','-') else m.nm end as pobject_name,
-  m.ds as pobject_desc, case when m.is_doc=1 then 'Documents' else 'Nov4Part' end as pobject_type, cast(null as timestamp) as pdate_released from {mst_item} m
+  case when m.is_doc=1 and m.k%9=4 then concat(m.ds,' (old)') else m.ds end as pobject_desc, case when m.is_doc=1 then 'Documents' else 'Nov4Part' end as pobject_type, cast(null as timestamp) as pdate_released from {mst_item} m
 union all
 select r.puid, concat('rev ',r.rev), concat('of ',r.item_puid), case when r.is_doc=1 then 'DocumentsRevision' else 'Nov4PartRevision' end, r.released from {mst_rev} r
 union all

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 BATCH_ROWS = 20_000
 HEADING = "INPUT"
+# Blanks at the ends of a cell are part of it.
+CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def write_target(df: DataFrame, name: str, if_exists: str = "drop", fmt: str = "parquet") -> None:
@@ -53,7 +55,7 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         write_input_lines(out, path)
         return
     writer = out.write.mode("overwrite").format(fmt)
-    (writer.option("header", "true") if fmt == "csv" else writer).save(path)
+    (writer.options(**CSV) if fmt == "csv" else writer).save(path)
 
 
 def stage_packed(packed: DataFrame, path: str, check_ids: Sequence[str]) -> dict[str, int]:
@@ -122,9 +124,14 @@ def append_log(log: DataFrame, path: str) -> None:
     log.coalesce(1).write.mode("append").parquet(path)
 
 
-def write_chunks(df: DataFrame, folder: str, chunk: str = "chunk", header: bool = True, sep: str = "|") -> None:
-    """One folder of files per chunk; each file repeats the heading and no file mixes chunks."""
-    df.write.mode("overwrite").partitionBy(chunk).option("header", str(header).lower()).option("sep", sep).csv(folder)
+def write_chunks(df: DataFrame, folder: str, chunk: str = "chunk", header: bool = True, sep: str = "|", order: Sequence[str] = (), files_per_chunk: int = 1) -> None:
+    """One folder per chunk; each of its files repeats the heading, and no file mixes chunks.
+
+    A chunk is dealt to ``files_per_chunk`` tasks by a digest of the row; with ``order``, each file is sorted.
+    """
+    piece = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_chunk))
+    dealt = df.withColumn("_piece", piece).repartition(chunk, "_piece").sortWithinPartitions(chunk, "_piece", *order).drop("_piece")
+    dealt.write.mode("overwrite").partitionBy(chunk).option("header", str(header).lower()).option("sep", sep).csv(folder)
 
 
 def write_export(df: DataFrame, folder: str) -> None:
