@@ -126,6 +126,8 @@ def array_rows(df: DataFrame, source: Sequence[str], schema: str | T.StructType,
             for piece in _pieces(b, 0):
                 out = f(*[piece.column(i).to_pylist() for i in range(len(source))])
                 yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(out, arrow)], schema=arrow)
+        f = out = piece = b = None
+        give_back_memory()
 
     return df.select(*[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(source)]).mapInArrow(run, schema)
 
