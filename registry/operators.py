@@ -30,6 +30,7 @@ from sievemark.plans import loadplan as LP
 from sievemark.plans import runner as RU
 from sievemark.plans import split as SP
 from sievemark.plans import staging as ST
+from sievemark.plans.shared import share_paths
 from sievemark.sources import readers as RD
 
 OPS: dict[str, tuple] = {}
@@ -426,7 +427,7 @@ def _context(c, name):
 def _package_counts(name):
     def run(c):
         p = PACKAGES[name]
-        return FU.package_counts(_context(c, name), p.checks).select("check_id", "result")
+        return FU.package_counts(share_paths(_context(c, name))[0], p.checks).select("check_id", "result")
 
     return run
 

@@ -31,6 +31,9 @@ DOCUMENT_TYPES_LOV = "ValidDocumentTypes_LOV"
 REFERENCE_DESIGNATOR = "Reference Designator"
 REFERENCE_COMMENTS = "Nov4RefDefComments"
 
+# Names of paths that a run has cut to its staged ids and stored, see plans.shared.
+SHARED_MASTER, SHARED_ITEMS = "shared_master", "shared_items"
+
 
 def pick(df: DataFrame, **names: str) -> DataFrame:
     """Only the given columns under new names."""
@@ -39,12 +42,18 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
 
 def master(refs: Refs, prefix="dw_") -> DataFrame:
     """Warehouse item master; all columns prefixed, plus the match key ``<prefix>key``."""
+    if SHARED_MASTER in refs:
+        dw = refs[SHARED_MASTER]
+        return dw.select(*[F.col(c).alias(f"{prefix}{c}") for c in dw.columns])
     dw = refs["item_all_site"]
     return dw.select(*[F.col(c).alias(f"{prefix}{c}") for c in dw.columns], T.id_key("tc_id").alias(f"{prefix}key"))
 
 
 def items(refs: Refs, local=False) -> DataFrame:
     """Items with their match key; ``local`` keeps those whose object is owned here."""
+    if SHARED_ITEMS in refs:
+        shared = refs[SHARED_ITEMS]
+        return (shared.filter("is_local") if local else shared).drop("is_local")
     out = pick(refs["pitem"], item_puid="puid", tc_item_id="pitem_id", unit_puid="ruom_tagu")
     out = out.withColumn("item_key", T.id_key("tc_item_id"))
     if local:
@@ -53,6 +62,13 @@ def items(refs: Refs, local=False) -> DataFrame:
     return out
 
 
+def items_with_site(refs: Refs) -> DataFrame:
+    """All items of :func:`items`, marked whether their object is owned here."""
+    own = pick(refs["ppom_object"].filter(F.col("rowning_siteu").isNull()), own_puid="puid").distinct()
+    marked = items(refs).join(own, F.col("item_puid") == F.col("own_puid"), "left")
+    return marked.withColumn("is_local", F.col("own_puid").isNotNull()).drop("own_puid")
+
+
 def item_names(refs: Refs) -> DataFrame:
     """Id of each item by surrogate key, without the match key."""
     return pick(refs["pitem"], named_puid="puid", named_id="pitem_id")

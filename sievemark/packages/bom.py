@@ -147,7 +147,16 @@ CHECKS = [
 
 PACKAGE = Package(
     "bom",
-    "parent_tc_id parent_gid_id parent_revision child_tc_id child_gid_id seq_no quantity refdefcomments".split(),
+    (  # fixed values
+        "parent_tc_id",
+        "parent_gid_id",
+        "parent_revision",
+        "child_tc_id",
+        "child_gid_id",
+        "seq_no",
+        "quantity",
+        "refdefcomments",
+    ),
     CHECKS,
     id_columns=("parent_tc_id", "child_tc_id"),
 )

@@ -113,6 +113,19 @@ CHECKS = [
 
 PACKAGE = Package(
     "document",
-    "doc_id name description revision revision_status rev_creation_date rev_release_date document_status document_category document_type dataset_name path_location".split(),
+    (  # fixed values
+        "doc_id",
+        "name",
+        "description",
+        "revision",
+        "revision_status",
+        "rev_creation_date",
+        "rev_release_date",
+        "document_status",
+        "document_category",
+        "document_type",
+        "dataset_name",
+        "path_location",
+    ),
     CHECKS,
 )

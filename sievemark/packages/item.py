@@ -180,6 +180,21 @@ CHECKS = [
 
 PACKAGE = Package(
     "item",
-    "tc_id alternateid revision rev_creation_date name name2 description uom engineering_type item_status revision_status rev_release_date traceability".split(),
+    (  # fixed values
+        "tc_id",
+        "alternateid",
+        "revision",
+        "rev_creation_date",
+        "name",
+        "name2",
+        "description",
+        "uom",
+        "engineering_type",
+        "item_status",
+        "revision_status",
+        "rev_release_date",
+        "traceability",
+    ),
     CHECKS,
+    id_columns=("tc_id",),
 )

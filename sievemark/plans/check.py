@@ -15,6 +15,7 @@ from sievemark.operators.rows import ordered
 from sievemark.operators.sets import id_union
 
 INFO, ISSUE, BACKUP = "INFO", "ISSUE", "Backup"
+SHARED_IDS = "shared_ids"
 
 
 @dataclass
@@ -33,7 +34,9 @@ class Context:
 
     @property
     def ids(self) -> DataFrame:
-        """Set of the capitalised ids of the id columns."""
+        """Set of the capitalised ids of the id columns; worked out once per run where paths are shared."""
+        if SHARED_IDS in self.refs:
+            return self.refs[SHARED_IDS]
         return id_union(self.chk, [T.id_key(c) for c in self.id_columns])
 
 

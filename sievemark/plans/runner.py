@@ -15,6 +15,7 @@ from sievemark.operators import parts as R
 from sievemark.operators.rows import ordered
 from sievemark.plans.check import Check, Context, Package
 from sievemark.plans.fused import fused_counts, fused_results, package_summary, packed_results, report_of, split_parts
+from sievemark.plans.shared import drop_shared, share_paths
 from sievemark.sources import sinks
 
 LOG_SCHEMA = (
@@ -83,6 +84,7 @@ def run_package(
     output_format: str = "parquet",
     sort: bool = False,
     skip: Sequence[str] = (),
+    share: bool = False,
     parallel: int = 4,
     now: dt.datetime | None = None,
     **params,
@@ -93,8 +95,17 @@ def run_package(
     every check that has rows gets a report below that folder, named by its id, title and number of rows, with
     its own columns in ``output_format``; a check without rows gets none. The rows of the fused parts are
     written and counted in one job, then each part's rows are read back alone. A manifest names all reports.
+    ``share`` cuts the master paths to the staged ids once and stores them for all checks of the run.
     """
-    ctx = package.context(chk, refs, **params)
+    whole = package.context(chk, refs, **params)
+    ctx, tables = share_paths(whole) if share else (whole, [])
+    try:
+        return _run(ctx, package, chk, table_name, mode, output, output_format, sort, skip, parallel, now)
+    finally:
+        drop_shared(whole, tables)
+
+
+def _run(ctx, package, chk, table_name, mode, output, output_format, sort, skip, parallel, now) -> PackageRun:
     checks = [c for c in package.checks if c.id not in set(skip)]
     run = PackageRun(package.name, table_name, mode, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     parts, frames, errors = split_parts(ctx, checks)

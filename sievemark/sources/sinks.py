@@ -144,6 +144,8 @@ def write_pass_fail(df: DataFrame, folder: str, status: str = "status") -> None:
     df.write.mode("overwrite").partitionBy(status).json(folder)
 
 
-def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
-    """Master table bucketed and sorted by its join key, so that joins on the key need no shuffle of it."""
-    df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Table bucketed and sorted by its join key, so that joins on the key need no shuffle of it."""
+    # Dealt by the key first, so that each bucket is one file.
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)
