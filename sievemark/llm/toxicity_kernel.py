@@ -31,7 +31,8 @@ WIDTH = 24  # longer words are read in overlapping stretches
 SPAN = WIDTH + 2  # a subsequence may span a whole stretch with its marks; only its weight falls
 SAMPLE_TEXTS = 3000  # labelled texts per label
 MARKERS, ORDINARY, HARD, LANDMARKS = 1500, 6000, 3000, 160
-MAX_WORDS = 600_000  # words whose value a task remembers
+MAX_WORDS = 250_000  # words whose value a task remembers
+PAIRS_AT_ONCE = 1_000_000
 WORD = re.compile(r"\S+")
 EDGES = re.compile(r"^[^\w]+|[^\w]+$")
 SINGLES = re.compile(r"(?<!\S)(?:\w[^\w\s]? ){2,}\w(?!\S)")
@@ -77,29 +78,43 @@ def by_length(words: list[str]):
             yield part, [words[i] for i in part]
 
 
-def explicit(words: list[str]) -> np.ndarray:
-    """Dense normalised weight vectors; for the few landmarks only."""
-    codes = encode_words(words)
-    out = np.zeros((len(words), ALPHABET**3), dtype=np.float32)
-    rows = np.arange(len(words))[:, None]
-    for index, weight in subsequences(codes):
-        np.add.at(out, (np.broadcast_to(rows, index.shape), index), weight)
-    out[:, 0] = 0
-    out /= norms(codes)[:, None].astype(np.float32)
-    return out
-
-
-def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
-    """Kernel of words with landmarks, given as explicit vectors."""
-    out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
-    for at, part in by_length(words):
-        codes = encode_words(part)
-        total = np.zeros((len(part), len(landmarks)), dtype=np.float32)
+class Landmarks:
+    """Normalised weight vectors of the landmarks, over the subsequences that any of them has."""
+
+    def __init__(self, words: list[str]):
+        codes = encode_words(words)
+        seen = np.zeros(ALPHABET**3, dtype=bool)
+        for index, _ in subsequences(codes):
+            seen[index] = True
+        seen[0] = False
+        self.columns = np.flatnonzero(seen)
+        self.place = np.zeros(ALPHABET**3, dtype=np.int32)  # place 0: a subsequence that no landmark has
+        self.place[self.columns] = np.arange(1, len(self.columns) + 1)
+        self.vectors = np.zeros((len(self.columns) + 1, len(words)), dtype=np.float32)
+        owner = np.arange(len(words))[:, None]
         for index, weight in subsequences(codes):
-            for start in range(index.shape[1]):
-                total += np.float32(weight) * landmarks[:, index[:, start]].T
-        out[at] = total / norms(codes)[:, None].astype(np.float32)
-    return out
+            np.add.at(self.vectors, (self.place[index], np.broadcast_to(owner, index.shape)), weight)
+        self.vectors[0] = 0
+        self.vectors /= norms(codes).astype(np.float32)
+
+    def kernel(self, words: list[str]) -> np.ndarray:
+        """Kernel of words with the landmarks."""
+        out = np.zeros((len(words), self.vectors.shape[1]), dtype=np.float32)
+        for at, part in by_length(words):
+            codes = encode_words(part)
+            total = np.zeros((len(part), self.vectors.shape[1]), dtype=np.float32)
+            for index, weight in subsequences(codes):
+                place = self.place[index]
+                for start in range(index.shape[1]):
+                    total += np.float32(weight) * self.vectors[place[:, start]]
+            out[at] = total / norms(codes)[:, None].astype(np.float32)
+        return out
+
+    def folded(self, coefficients: np.ndarray) -> np.ndarray:
+        """One weight per subsequence."""
+        out = np.zeros(ALPHABET**3, dtype=np.float32)
+        out[self.columns] = (self.vectors @ coefficients)[1:]
+        return out
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 1500, decay: float = 1e-5) -> tuple[np.ndarray, float]:
@@ -144,16 +159,76 @@ class ToxicModel:
         return out
 
 
+    def joined(self, words: list[str], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Decision value of each pair of words (given by their numbers) read as one, as :meth:`words` gives it.
+
+        The weight of a subsequence depends on its span alone, so what crosses the border of a pair splits into a
+        factor of either word. Each word is worked out once; a pair then costs one lookup per character.
+        """
+        out = np.empty(len(left))
+        size = np.array([len(w) for w in words], dtype=np.int64)
+        rest = np.flatnonzero(size[left] + size[right] > WIDTH)
+        if len(rest):
+            out[rest] = self.words([words[a] + words[b] for a, b in zip(left[rest].tolist(), right[rest].tolist())])
+        at = np.flatnonzero(size[left] + size[right] <= WIDTH)
+        if not len(at):
+            return out
+        used, numbers = np.unique(np.concatenate([left[at], right[at]]), return_inverse=True)
+        left, right = numbers[: len(at)], numbers[len(at) :]
+        words, size = [words[i] for i in used.tolist()], size[used]
+        marked = np.zeros((len(words), int(size.max()) + 2), dtype=np.int32)
+        inner_left, inner_right = np.zeros(len(words), np.float32), np.zeros(len(words), np.float32)
+        ahead, behind = (np.zeros((len(words), ALPHABET), np.float32) for _ in range(2))
+        table = self.weights.reshape(ALPHABET * ALPHABET, ALPHABET)
+        turned = np.ascontiguousarray(self.weights.reshape(ALPHABET, -1).T)  # by second and third character
+        for group, part in by_length(words):
+            codes = encode_words(part)
+            marked[group, : codes.shape[1]] = codes
+            for start in range(0, len(part), 512):  # small enough to stay in the cache
+                some, rows = codes[start : start + 512], group[start : start + 512]
+                inner_left[rows], ahead[rows] = self._one_side(some[:, :-1], table, True)
+                inner_right[rows], behind[rows] = self._one_side(some[:, 1:], turned, False)
+        total = (inner_left[left] + inner_right[right]).astype(np.float32)
+        n, m = size[left], size[right]
+        for q in range(int(m.max()) + 1):  # characters of the right word and its end mark
+            have = np.flatnonzero(q <= m)
+            total[have] += np.float32(DECAY ** (q + 2)) * ahead[left[have], marked[right[have], q + 1]]
+        for back in range(int(n.max()) + 1):  # characters of the left word from its last one, and its start mark
+            have = np.flatnonzero(back <= n)
+            total[have] += np.float32(DECAY**back) * behind[right[have], marked[left[have], n[have] - back]]
+        lengths = np.arange(2, WIDTH + 3)
+        norm = norms(np.tri(len(lengths), WIDTH + 2, 1, dtype=np.int32))
+        out[at] = total / norm[n + m] + self.bias
+        return out
+
+    def _one_side(self, codes: np.ndarray, table: np.ndarray, is_left: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Value of the subsequences within a word and its outer mark, and of its pairs by the missing character."""
+        width = codes.shape[1]
+        within = np.zeros(len(codes), np.float32)
+        for a in range(1, width - 1):
+            pair = (codes[:, : width - a] * ALPHABET + codes[:, a:]) * ALPHABET
+            for b in range(a + 1, width):
+                within += np.float32(DECAY ** (b + 1)) * self.weights.take(pair[:, : width - b] + codes[:, b:]).sum(1)
+        missing = np.zeros((len(codes), ALPHABET), np.float32)
+        row = np.empty_like(missing)
+        for i in range(width):
+            for j in range(i + 1, width):
+                np.take(table, codes[:, i] * ALPHABET + codes[:, j], axis=0, out=row)
+                row *= np.float32(DECAY ** (width - 1 - i) if is_left else DECAY ** (j + 2))
+                missing += row
+        return within, missing
+
+
 NOTHING = -3.0  # decision value where a text has no word
 
 
-def split_words(text: str | None) -> tuple[set[str], set[str]]:
-    """Distinct words in small letters without outer marks, and joined pairs of neighbouring words.
+def split_words(text: str | None) -> tuple[set[str], list[str]]:
+    """Distinct words in small letters without outer marks, and all of them in the order of the text.
 
     Runs of single characters are also one word, and words with marks inside are also read without these.
     """
     if not text:
-        return set(), set()
+        return set(), []
     low = text.lower()
     tokens = [w if w.isalpha() else EDGES.sub("", w) for w in low.split()]
     tokens = [w for w in tokens if w]
@@ -161,13 +236,13 @@ def split_words(text: str | None) -> tuple[set[str], set[str]]:
     words.update(["".join(c for c in w if c.isalnum()) for w in words if not w.isalnum()])
     words.update("".join(c for c in m if c.isalnum()) for m in SINGLES.findall(low))
     words.discard("")
-    return words, set(map(str.__add__, tokens, tokens[1:]))
+    return words, tokens
 
 
 def word_values(model: ToxicModel):
     """Function from texts to their two highest word values and the highest one of a pair of neighbours.
 
-    Remembers words, forgets all when too many; pairs are valued once per batch.
+    Remembers words, forgets all when too many; pairs of neighbours are valued once per batch.
     """
     known: dict[str, float] = {}
 
@@ -181,21 +256,38 @@ def word_values(model: ToxicModel):
         for start in range(0, len(new), 20_000):
             part = new[start : start + 20_000]
             known.update(zip(part, model.words(part).tolist()))
-        pairs: dict[str, float] = {}
-        new = list(set().union(*[p for _, p in both]))
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            pairs.update(zip(part, (model.pairs or model).words(part).tolist()))
         out = []
-        for s, p in both:
+        for s, pair in zip(sets, _best_pairs(model.pairs or model, [t for _, t in both])):
             best = sorted(map(known.__getitem__, s))[-2:] if s else []
-            pair = max(map(pairs.__getitem__, p), default=NOTHING)
             out.append((max(best[-1], NOTHING) if best else NOTHING, max(best[0], NOTHING) if len(best) > 1 else NOTHING, max(pair, NOTHING)))
         return out
 
     return run
 
 
+def _best_pairs(model: ToxicModel, texts: list[list[str]]) -> list[float]:
+    """The highest value of a pair of neighbouring words of each text; each distinct pair is valued once."""
+    ids: dict[str, int] = {}
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    flat = np.fromiter((ids.setdefault(w, len(ids)) for t in texts for w in t), np.int64, int(sizes.sum()))
+    best = np.full(len(texts), NOTHING)
+    ends = np.cumsum(sizes)
+    first = np.ones(len(flat), bool)
+    first[ends[:-1][ends[:-1] < len(flat)]] = False  # no pair goes from one text to the next
+    keys = (flat[:-1] << 32 | flat[1:])[first[1:]]
+    if len(keys):
+        distinct, which = np.unique(keys, return_inverse=True)
+        values = np.empty(len(distinct))
+        words = list(ids)
+        for low in range(0, len(distinct), PAIRS_AT_ONCE):
+            part = distinct[low : low + PAIRS_AT_ONCE]
+            values[low : low + PAIRS_AT_ONCE] = model.joined(words, part >> 32, part & 0xFFFFFFFF)
+        pairs = np.maximum(sizes - 1, 0)
+        have = np.flatnonzero(pairs)
+        best[have] = np.maximum.reduceat(values[which], (np.cumsum(pairs) - pairs)[have])
+    return best.tolist()
+
+
 def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic", per_label: int = SAMPLE_TEXTS, prior: dict | None = None) -> ToxicModel:
     """Trains on at most about ``per_label`` distinct texts of each label (0 and 1).
 
@@ -208,10 +300,10 @@ def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic",
     def make():
         def run(labels, texts):
             for y, t in zip(labels, texts):
-                words, pairs = split_words(t)
+                words, tokens = split_words(t)
                 for w in words:
                     yield w, False, y
-                for w in pairs:
+                for w in set(map(str.__add__, tokens, tokens[1:])):
                     yield w, True, y
 
         return run
@@ -281,19 +373,17 @@ def _train(markers: list[str], hits: list[float], plain: list[str]) -> ToxicMode
     step = max(1, len(markers) // (LANDMARKS // 2))
     every = max(1, len(plain) // (LANDMARKS // 2))
     chosen = list(dict.fromkeys(markers[: LANDMARKS // 4] + markers[::step] + plain[::every]))[: LANDMARKS + LANDMARKS // 2]
-    vectors = explicit(chosen)
-    values, basis = np.linalg.eigh((vectors @ vectors.T).astype(float))
+    landmarks = Landmarks(chosen)
+    values, basis = np.linalg.eigh((landmarks.vectors.T @ landmarks.vectors).astype(float))
     kept = values > 1e-4 * values[-1]
     root = basis[:, kept] / np.sqrt(values[kept])  # Nyström: k(x) @ root are the mapped coordinates
-    x = kernel(markers + plain, vectors) @ root
+    x = landmarks.kernel(markers + plain) @ root
     y = np.concatenate([np.ones(len(markers)), -np.ones(len(plain))])
     w = np.concatenate([hits, np.ones(len(plain))])
     for label in (1, -1):
         w[y == label] /= w[y == label].mean()
     v, bias = linear_svm(x, y, w)
-    folded = ((root @ v) @ vectors).astype(np.float32)
-    folded[0] = 0
-    return ToxicModel(folded, bias, (0.0, 1.0, 0.0, 0.0))
+    return ToxicModel(landmarks.folded(root @ v), bias, (0.0, 1.0, 0.0, 0.0))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 3000) -> tuple[float, ...]:

@@ -149,14 +149,35 @@ def test_kernel_equals_counting_subsequences():
         return sum(v * b.get(k, 0) for k, v in a.items())
 
     words = ["idiot", "i-d-i-o-t", "idio", "riot", "a", "mississippi"]
-    vectors = toxicity_kernel.explicit(words)
     norm = toxicity_kernel.norms(toxicity_kernel.encode_words(words))
-    k = toxicity_kernel.kernel(words, vectors)
+    k = toxicity_kernel.Landmarks(words).kernel(words)
     for i, s in enumerate(words):
         for j, t in enumerate(words):
             assert abs(k[i, j] * norm[i] * norm[j] - slow(s, t)) < 1e-3
 
 
+def test_pairs_have_the_value_of_the_joined_word():
+    r, draw = np.random.default_rng(2), random.Random(2)
+    weights = r.normal(size=toxicity_kernel.ALPHABET**3).astype(np.float32)
+    weights[0] = 0
+    model = toxicity_kernel.ToxicModel(weights, 0.3, (0.0, 1.0, 1.0, 1.0))
+    words = ["".join(draw.choice("abcdefgh-é日0") for _ in range(draw.choice((1, 2, 5, 9, 12, 23, 30)))) for _ in range(80)]
+    left, right = (np.array([draw.randrange(80) for _ in range(400)]) for _ in range(2))
+    whole = model.words([words[a] + words[b] for a, b in zip(left, right)])
+    assert np.abs(model.joined(words, left, right) - whole).max() < 1e-4
+    texts = [[], ["a"], words[:2], [], words[:30], words[5:9]]
+    best = [max(model.words(list(map(str.__add__, t, t[1:]))).tolist(), default=toxicity_kernel.NOTHING) for t in texts]
+    assert np.abs(np.array(toxicity_kernel._best_pairs(model, texts)) - best).max() < 1e-4
+
+
+def test_toxicity_query_on_held_out_rows(spark):
+    got = {r.doc_id: r for r in queries.QUERIES["op10_toxicity_kernel"](spark, "/root/testdata/sf0.01").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect() if r.toxic is not None}
+    held = {i: t for i, t in labels.items() if i in got and got[i].held_out}
+    assert len(got) == 1000 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
+    assert sum(got[i].predicted for i, t in held.items() if not t) <= 0.02 * len(held)
+
+
 def test_toxicity_finds_gapped_insults_on_held_out_texts(spark):
     r = random.Random(3)
     calm = ["".join(r.choice(("ta", "re", "lo", "mi", "sen", "dor", "ka")) for _ in range(r.randint(2, 4))) for _ in range(300)]
