@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Mapping
 from dataclasses import replace
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sievemark.operators import paths as K
 from sievemark.plans.check import SHARED_IDS, Context
-from sievemark.session import checkpoint_folder
+from sievemark.session import checkpoint_folder, plan_nodes
 from sievemark.sources import sinks
 
 
@@ -35,8 +34,7 @@ class _Added(Mapping):
 
 def _is_stored(df: DataFrame) -> bool:
     """Whether the rows are read from one table by row-wise steps."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    nodes = [re.match(r"[\s:+|-]*(\w+)", line).group(1) for line in plan.splitlines() if line.strip()]
+    nodes = plan_nodes(df)
     return nodes.count("Relation") == 1 and set(nodes) <= {"Relation", "Project", "Filter"}
 
 

@@ -6,7 +6,6 @@ files, so no copy of the rows is written in between and a task that runs again n
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -19,7 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from sievemark.operators.keyed import join_key_statistic
 from sievemark.operators.ordered import numbered, order_rows
-from sievemark.session import cut_lineage
+from sievemark.session import cut_lineage, plan_nodes
 from sievemark.sources.readers import split_fields
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row number below
@@ -40,8 +39,7 @@ def _reads_files(df: DataFrame) -> bool:
         df.select("_metadata.file_path").schema
     except AnalysisException:
         return False
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return {re.match(r"[\s:+|-]*(\w+)", line).group(1) for line in plan.splitlines() if line.strip()} <= _NARROW
+    return set(plan_nodes(df)) <= _NARROW
 
 
 def _numbered_as_stored(df: DataFrame, name: str, total: str | None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,12 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return _TEST_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="sievemark-"))
 
 
+def plan_nodes(df: DataFrame) -> list[str]:
+    """First word of each line of the optimised plan, mostly the names of its operators."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [m.group(1) if (m := re.match(r"[\s:+|-]*(\w+)", line)) else line for line in plan.splitlines() if line.strip()]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder, so that later passes see the same rows in the same places."""
     context = df.sparkSession.sparkContext
