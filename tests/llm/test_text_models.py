@@ -74,6 +74,26 @@ def test_many_unlabelled_keys_of_a_labelled_format_are_found(spark):
     assert not any(spans[i] for i in range(1650, 1710))
 
 
+def test_runs_without_a_digit_and_rests_of_runs_are_scored(spark):
+    r = random.Random(5)
+    letters = lambda: "kx-" + "".join(r.choice("QWZXKJVB") for _ in range(20))
+    mixed = lambda: "sk_" + "".join(r.choice("0123456789abcdef") for _ in range(18))
+    word = lambda: "".join(r.choice(("tion", "er", "the", "an", "ness", "al")) for _ in range(8))
+    texts = [f"token = {k()} for {word()}" for _ in range(150) for k in (letters, mixed)]
+    free = [f"it says {letters()} here" for _ in range(100)]
+    access = "AKIA" + "Q7" * 8
+    rests = [f"it says {mixed()}_{access} here" for _ in range(100)]
+    plain = [f"it says {word()} here" for _ in range(100)] + [f"it says {word()}_{access} here" for _ in range(100)]
+    df = spark.createDataFrame(list(enumerate(texts + free + rests + plain)), "doc_id long, text string")
+    spans = {x.doc_id: x.spans for x in secret_grammar.secret_digests(df).collect()}
+    assert np.mean([spans[i] == "format:8:31" for i in range(300, 400)]) > 0.9
+    assert np.mean([spans[i] == "format:8:30,access:30:50" for i in range(400, 500)]) > 0.9
+    assert not any("format" in spans[i] for i in range(500, 700))
+    assert not any("format" in spans[i] for i in range(300))  # their words
+    marked = {x.doc_id: x.text for x in secret_grammar.redact(df).collect()}
+    assert np.mean([marked[i] == "it says [secret] here" for i in range(300, 400)]) > 0.9
+
+
 def test_secrets_of_odd_rows(spark, odd):
     out = secret_grammar.secret_digests(odd).collect()
     assert len(out) == len(ODD) and all(r.spans == "" for r in out)
