@@ -111,3 +111,32 @@ def test_sites_that_fail_while_they_are_read(spark, tmp_path):
         E.extract(spark, readers, sites="nor", folder=str(tmp_path / "again"))
     with pytest.raises(AnalysisException):
         spark.read.parquet(str(tmp_path / "sites" / "nor"))
+
+
+def test_left_join_deals_rows_without_a_key_to_all_tasks(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, F.col("id") % 7).cast("string").alias("k"))
+    one = spark.createDataFrame([("0", "a"), ("1", "b"), ("1", "c"), (None, "n")], "x string, v string")
+    two = spark.createDataFrame([("1", "d"), ("5", "e")], "y string, w string")
+    want = df.join(one, F.col("k") == F.col("x"), "left").join(two, F.col("k") == F.col("y"), "left")
+    old = {c: spark.conf.get(c, None) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for c, v in zip(old, ("-1", "false")):
+            spark.conf.set(c, v)
+        got = U.left_join_spread(df, "k", (one, "x"), (two, "y"))
+        assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        blank = got.filter("k is null").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(blank) == 4 and max(r["count"] for r in blank) < 1000
+        # Occurrences without notes, in the backup of a bill of material.
+        assert "SortMergeJoin [occ_notes" in (text := bom_backup(spark)) and not any("_spot" not in j for j in text.splitlines() if "SortMergeJoin [occ_notes" in j)
+    finally:
+        for c, v in old.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+
+
+def bom_backup(spark):
+    from conftest import SMALL
+    from sievemark.packages import PACKAGES
+    from sievemark.sources.catalog import sample_catalog
+
+    refs, p = sample_catalog(spark, SMALL), PACKAGES["bom"]
+    return p.check("D32").frame(p.context(refs["stg_bom"], refs))._jdf.queryExecution().executedPlan().toString()
