@@ -154,3 +154,21 @@ def test_dropped_rows(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "v string")
     assert rows(U.dropped_rows(df)) == [(1, 2)]
     assert rows(U.column_profile(df.withColumn("w", F.lit("")))) == [("v", 1, False), ("w", 0, True)]
+
+
+def test_numbers_sort_exactly_with_keys_worked_out_once(spark):
+    texts = ["9007199254740993", "9007199254740992", "9007199254740992.5", "9007199254740991.9999999999", "0.1", "0.1000000001", "-0.1", "-3", "x", None, "", "7", "7.0", "9999999999999999999999999999", "9999999999999999999999999998.9", "-9007199254740993"]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "q string, i int")
+    for spec, how in (("#q", "asc nulls last"), ("-#q", "desc nulls first")):
+        want = df.orderBy(F.expr("try_cast(q as decimal(38,10))").asc_nulls_last() if spec == "#q" else F.expr("try_cast(q as decimal(38,10))").desc_nulls_first(), "i")
+        got = A.ordered(df, [spec, "i"])
+        assert got.columns == df.columns and got.collect() == want.collect()
+        sorts = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Sort [" in line]
+        assert sorts and not any("cast" in s for s in sorts)
+
+
+def test_value_that_is_a_key_needs_no_set_of_values(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("a", None, 3), ("a", None, 4), ("b", "y", 5)], "k string, v string, i int")
+    got = N.multi_value_rows(df, ["k", "v"], "v", distinct=False)
+    assert got.columns == ["k", "v", "i", "cnt"] and got.collect() == []
+    assert "distinct" not in got._jdf.queryExecution().optimizedPlan().toString()
