@@ -7,6 +7,7 @@ from conftest import SMALL
 from oracle.compare import difference
 from sievemark.packages import PACKAGES, SAMPLE_INPUTS
 from sievemark.plans.fused import fused_counts, split_parts
+from sievemark.session import plan_nodes
 
 CHECKS = {entry_name: (package, check_id) for entry_name, package, check_id in entry._checks()}
 
@@ -64,3 +65,23 @@ def test_entry_counts_every_item_check(spark):
 
 def test_sample_inputs_cover_all_packages():
     assert set(SAMPLE_INPUTS) == set(PACKAGES)
+
+
+def test_wide_master_rows_are_joined_last(refs):
+    """A document has many parts: its texts are not carried through their joins and groups."""
+    p = PACKAGES["status"]
+    df = p.check("G21").frame(p.context(refs["stg_status"], refs))
+    assert plan_nodes(df)[:2] == ["Project", "Join"]
+
+
+def test_second_parts_do_not_work_out_their_items_twice(refs):
+    p = PACKAGES["ownership"]
+    assert plan_nodes(p.check("H16").frame(p.context(refs["stg_owner"], refs))).count("Relation") < 200
+
+
+def test_pairs_of_staged_rows_are_counted_from_the_rows(refs):
+    """Not from their groups: every use of the pairs would move all groups."""
+    p = PACKAGES["doc_relation"]
+    text = p.check("C11").frame(p.context(refs["stg_docrel"], refs))._jdf.queryExecution().optimizedPlan().toString()
+    groups = [line for line in text.splitlines() if re.search(r"Aggregate \[item_id#\d+, revision#\d+, doc_id#\d+", line)]
+    assert len(groups) <= 1 and "sum(_n" not in text
