@@ -221,3 +221,29 @@ def test_a_measure_that_fails_when_it_runs_is_logged_as_failed(spark, tmp_path,
     run = RU.run_package(p, chk, table_name="t", now=NOW, output=str(tmp_path / "out") if written else None)
     assert run.rows() == {"Z1": None, "Z2": 1}
     assert [r["result"] for r in run.log_frame(spark).orderBy("seq").collect()] == [None, 1.0]
+
+
+def test_derived_tables_that_checks_read_twice_are_stored_once(spark, tmp_path):
+    from sievemark.plans.check import Check, Context
+    from sievemark.plans.shared import drop_shared, share_paths
+    from sievemark.session import checkpoint_folder, plan_nodes
+
+    spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    grouped = table.groupBy("k").agg(F.sum("v").alias("n"))
+    bad = table.groupBy("k").agg(F.raise_error(F.lit("no such site")).alias("n"))
+    once = table.select(F.col("k").alias("o")).distinct()
+    refs = {"grouped": grouped, "bad": bad, "plain": table, "once": once}
+    read = lambda name: lambda c: c.chk.join(c.refs[name].select(F.col("k").alias("_k")), F.col("k") == F.col("_k"))
+    checks = [Check(f"Z{i}", "INFO", n, read(n)) for i, n in enumerate(("grouped", "grouped", "bad", "bad", "plain", "plain"))]
+    checks += [Check("Z7", "INFO", "once", lambda c: c.refs["once"]), Check("Z8", "INFO", "none", lambda c: c.refs["none"])]
+    ctx = Context(table.distinct(), refs)
+    shared, names = share_paths(ctx, checks)
+    assert plan_nodes(shared.refs["grouped"]) == ["Relation"] == plan_nodes(shared.chk)
+    assert shared.refs["plain"] is table and shared.refs["bad"] is bad and shared.refs["once"] is once
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(checks[0].frame(shared)) == rows(checks[0].frame(ctx)) and rows(shared.chk) == rows(ctx.chk)
+    drop_shared(ctx, names)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_folder(spark)}/shared")
+    left = [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    assert not set(left) & set(names)
