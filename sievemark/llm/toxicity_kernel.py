@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,7 +32,8 @@ WIDTH = 24  # longer words are read in overlapping stretches
 SPAN = WIDTH + 2  # a subsequence may span a whole stretch with its marks; only its weight falls
 SAMPLE_TEXTS = 3000  # labelled texts per label
 MARKERS, ORDINARY, HARD, LANDMARKS = 1500, 6000, 3000, 160
-MAX_WORDS = 250_000  # words whose value a task remembers
+MAX_WORDS = 300_000  # words as they stand in texts that a task remembers
+MAX_SIDES = 200_000  # words whose sides in pairs a task remembers, some 400 bytes each
 PAIRS_AT_ONCE = 1_000_000
 WORD = re.compile(r"\S+")
 EDGES = re.compile(r"^[^\w]+|[^\w]+$")
@@ -70,7 +72,7 @@ def norms(codes: np.ndarray) -> np.ndarray:
 
 def by_length(words: list[str]):
     """(positions, words) in groups of one length, so that none is filled up."""
-    size = np.array([min(len(w), WIDTH) for w in words])
+    size = np.minimum(np.fromiter(map(len, words), np.int64, len(words)), WIDTH)
     for n in np.unique(size):
         at = np.flatnonzero(size == n)
         for start in range(0, len(at), 4096):
@@ -139,14 +141,14 @@ class ToxicModel:
 
     def words(self, words: list[str]) -> np.ndarray:
         """Decision value of each word; a long word has that of its most toxic stretch."""
-        parts, owner = [], []
-        for i, w in enumerate(words):
-            for start in range(0, max(len(w) - WIDTH // 2, 1), WIDTH // 2):
-                parts.append(w[start : start + WIDTH])
+        parts, owner = [w[:WIDTH] for w in words], list(range(len(words)))
+        for i in np.flatnonzero(np.fromiter(map(len, words), np.int64, len(words)) > WIDTH).tolist():
+            for start in range(WIDTH // 2, len(words[i]) - WIDTH // 2, WIDTH // 2):
+                parts.append(words[i][start : start + WIDTH])
                 owner.append(i)
         value = np.zeros(len(parts))
         for at, part in by_length(parts):
-            codes = encode_words(part)
+            codes = encode_words(part).astype(np.intp)
             total = np.zeros(len(part), dtype=np.float32)
             width = codes.shape[1]  # all codes are above 0 here
             for a in range(1, width - 1):
@@ -162,8 +164,7 @@ class ToxicModel:
     def joined(self, words: list[str], left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Decision value of each pair of words (given by their numbers) read as one, as :meth:`words` gives it.
 
-        The weight of a subsequence depends on its span alone, so what crosses the border of a pair splits into a
-        factor of either word. Each word is worked out once; a pair then costs one lookup per character.
+        Each word is worked out once (:class:`Sides`).
         """
         out = np.empty(len(left))
         size = np.array([len(w) for w in words], dtype=np.int64)
@@ -174,54 +175,110 @@ class ToxicModel:
         if not len(at):
             return out
         used, numbers = np.unique(np.concatenate([left[at], right[at]]), return_inverse=True)
-        left, right = numbers[: len(at)], numbers[len(at) :]
-        words, size = [words[i] for i in used.tolist()], size[used]
-        marked = np.zeros((len(words), int(size.max()) + 2), dtype=np.int32)
-        inner_left, inner_right = np.zeros(len(words), np.float32), np.zeros(len(words), np.float32)
-        ahead, behind = (np.zeros((len(words), ALPHABET), np.float32) for _ in range(2))
-        table = self.weights.reshape(ALPHABET * ALPHABET, ALPHABET)
-        turned = np.ascontiguousarray(self.weights.reshape(ALPHABET, -1).T)  # by second and third character
-        for group, part in by_length(words):
-            codes = encode_words(part)
-            marked[group, : codes.shape[1]] = codes
-            for start in range(0, len(part), 512):  # small enough to stay in the cache
-                some, rows = codes[start : start + 512], group[start : start + 512]
-                inner_left[rows], ahead[rows] = self._one_side(some[:, :-1], table, True)
-                inner_right[rows], behind[rows] = self._one_side(some[:, 1:], turned, False)
-        total = (inner_left[left] + inner_right[right]).astype(np.float32)
-        n, m = size[left], size[right]
-        for q in range(int(m.max()) + 1):  # characters of the right word and its end mark
-            have = np.flatnonzero(q <= m)
-            total[have] += np.float32(DECAY ** (q + 2)) * ahead[left[have], marked[right[have], q + 1]]
-        for back in range(int(n.max()) + 1):  # characters of the left word from its last one, and its start mark
-            have = np.flatnonzero(back <= n)
-            total[have] += np.float32(DECAY**back) * behind[right[have], marked[left[have], n[have] - back]]
-        lengths = np.arange(2, WIDTH + 3)
-        norm = norms(np.tri(len(lengths), WIDTH + 2, 1, dtype=np.int32))
-        out[at] = total / norm[n + m] + self.bias
+        sides = Sides(self)
+        sides.add([words[i] for i in used.tolist()])
+        out[at] = sides.values(numbers[: len(at)], numbers[len(at) :])
         return out
 
     def _one_side(self, codes: np.ndarray, table: np.ndarray, is_left: bool) -> tuple[np.ndarray, np.ndarray]:
         """Value of the subsequences within a word and its outer mark, and of its pairs by the missing character."""
-        width = codes.shape[1]
+        codes, width = codes.astype(np.intp), codes.shape[1]
         within = np.zeros(len(codes), np.float32)
         for a in range(1, width - 1):
             pair = (codes[:, : width - a] * ALPHABET + codes[:, a:]) * ALPHABET
             for b in range(a + 1, width):
                 within += np.float32(DECAY ** (b + 1)) * self.weights.take(pair[:, : width - b] + codes[:, b:]).sum(1)
-        missing = np.zeros((len(codes), ALPHABET), np.float32)
+        missing = np.zeros((len(codes), table.shape[1]), np.float32)
         row = np.empty_like(missing)
         for i in range(width):
             for j in range(i + 1, width):
-                np.take(table, codes[:, i] * ALPHABET + codes[:, j], axis=0, out=row)
+                np.take(table, codes[:, i] * ALPHABET + codes[:, j], axis=0, out=row, mode="clip")  # not buffered
                 row *= np.float32(DECAY ** (width - 1 - i) if is_left else DECAY ** (j + 2))
                 missing += row
         return within, missing
 
 
+class Sides:
+    """What words under ``WIDTH`` characters bring into pairs as the left and as the right one, by the word's place here.
+
+    The weight of a subsequence depends on its span alone, so what crosses the border of a pair splits into a
+    factor of either word.
+    """
+
+    def __init__(self, model: ToxicModel):
+        self.model, self.count = model, 0
+        # Columns of characters that no landmark has there are all zero and share place 0.
+        self.table, self.third = self._narrow(model.weights.reshape(ALPHABET * ALPHABET, ALPHABET))
+        self.turned, self.first = self._narrow(model.weights.reshape(ALPHABET, -1).T)  # by second and third character
+        self.norms = norms(np.tri(WIDTH + 1, WIDTH + 2, 1, dtype=np.int32))  # by the characters of a pair
+        self.size = np.zeros(0, np.int64)
+        self.as_third, self.as_first = (np.zeros((0, WIDTH + 2), np.int8) for _ in range(2))  # places of the characters
+        self.inner_left, self.inner_right, self.most_ahead, self.most_behind = (np.zeros(0, np.float32) for _ in range(4))
+        self.ahead, self.behind = (np.zeros((0, t.shape[1]), np.float32) for t in (self.table, self.turned))
+
+    @staticmethod
+    def _narrow(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        used = np.flatnonzero(table.any(0))
+        place = np.zeros(ALPHABET, np.int8)
+        place[used] = np.arange(1, len(used) + 1)
+        return np.ascontiguousarray(np.hstack([np.zeros((len(table), 1), np.float32), table[:, used]])), place
+
+    def add(self, words: list[str]) -> None:
+        first, self.count = self.count, self.count + len(words)
+        if self.count > len(self.size):
+            room = max(self.count, len(self.size) * 3 // 2) - len(self.size)
+            for name in ("size", "as_third", "as_first", "inner_left", "inner_right", "most_ahead", "most_behind", "ahead", "behind"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros((room, *old.shape[1:]), old.dtype)]))
+        self.size[first : self.count] = [len(w) for w in words]
+        for group, part in by_length(words):
+            codes, group = encode_words(part), group + first
+            self.as_third[group, : codes.shape[1]] = self.third[codes]
+            self.as_first[group, : codes.shape[1]] = self.first[codes]
+            for start in range(0, len(part), 512):  # small enough to stay in the cache
+                some, rows = codes[start : start + 512], group[start : start + 512]
+                self.inner_left[rows], self.ahead[rows] = self.model._one_side(some[:, :-1], self.table, True)
+                self.inner_right[rows], self.behind[rows] = self.model._one_side(some[:, 1:], self.turned, False)
+        new = slice(first, self.count)
+        self.most_ahead[new] = np.maximum(self.ahead[new].max(1, initial=0), 0)
+        self.most_behind[new] = np.maximum(self.behind[new].max(1, initial=0), 0)
+
+    def most(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """No less than :meth:`values`: the first crossing character of either word as it is, the others at their most."""
+        n, m = self.size[left], self.size[right]
+        total = self.inner_left[left] + self.inner_right[right]
+        total += np.float32(DECAY**2) * self.ahead[left, self.as_third[right, 1]] + self.behind[right, self.as_first[left, n]]
+        total += np.float32(DECAY**3 / (1 - DECAY)) * self.most_ahead[left] + np.float32(DECAY / (1 - DECAY)) * self.most_behind[right]
+        return (total + 1e-3 + 1e-4 * np.abs(total)) / self.norms[n + m] + self.model.bias
+
+    def values(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Decision value of each pair; a pair costs one lookup per character."""
+        total = (self.inner_left[left] + self.inner_right[right]).astype(np.float32)
+        n, m = self.size[left], self.size[right]
+        for q in range(int(m.max(initial=-1)) + 1):  # characters of the right word and its end mark
+            have = np.flatnonzero(q <= m)
+            total[have] += np.float32(DECAY ** (q + 2)) * self.ahead[left[have], self.as_third[right[have], q + 1]]
+        for back in range(int(n.max(initial=-1)) + 1):  # characters of the left word from its last one, and its start mark
+            have = np.flatnonzero(back <= n)
+            total[have] += np.float32(DECAY**back) * self.behind[right[have], self.as_first[left[have], n[have] - back]]
+        return total / self.norms[n + m] + self.model.bias
+
+
 NOTHING = -3.0  # decision value where a text has no word
 
 
+def _bare(word: str) -> str:
+    return "".join(c for c in word if c.isalnum())
+
+
+def word_forms(token: str) -> tuple[str, str]:
+    """A token without outer marks, and without any marks if it has some inside."""
+    if token.isalpha():
+        return token, ""
+    word = EDGES.sub("", token)
+    return word, "" if word.isalnum() else _bare(word)
+
+
 def split_words(text: str | None) -> tuple[set[str], list[str]]:
     """Distinct words in small letters without outer marks, and all of them in the order of the text.
 
@@ -230,62 +287,141 @@ def split_words(text: str | None) -> tuple[set[str], list[str]]:
     if not text:
         return set(), []
     low = text.lower()
-    tokens = [w if w.isalpha() else EDGES.sub("", w) for w in low.split()]
-    tokens = [w for w in tokens if w]
-    words = set(tokens)
-    words.update(["".join(c for c in w if c.isalnum()) for w in words if not w.isalnum()])
-    words.update("".join(c for c in m if c.isalnum()) for m in SINGLES.findall(low))
+    both = [word_forms(w) for w in low.split()]
+    tokens = [w for w, _ in both if w]
+    words = set(tokens).union([b for _, b in both], map(_bare, SINGLES.findall(low)))
     words.discard("")
     return words, tokens
 
 
+class _Numbers(dict):
+    """Numbers keys as they come."""
+
+    def __missing__(self, key) -> int:
+        n = self[key] = len(self)
+        return n
+
+
+class KnownWords:
+    """Words by number, with their value and their sides in pairs once these were asked for."""
+
+    def __init__(self, model: ToxicModel):
+        self.model, self.numbers, self.sides = model, _Numbers(), Sides(model.pairs or model)
+        self.value, self.place = np.full(0, np.nan), np.full(0, -1)
+
+    def _words(self, which: np.ndarray) -> list[str]:
+        words = list(self.numbers)
+        return [words[i] for i in which.tolist()]
+
+    def _grow(self) -> None:
+        if (room := len(self.numbers) - len(self.value)) > 0:
+            self.value = np.concatenate([self.value, np.full(room, np.nan)])
+            self.place = np.concatenate([self.place, np.full(room, -1)])
+
+    def values(self, numbers: np.ndarray) -> np.ndarray:
+        """Decision values of words."""
+        self._grow()
+        new = np.unique(numbers[np.isnan(self.value[numbers])])
+        words = self._words(new)
+        for start in range(0, len(words), 20_000):
+            self.value[new[start : start + 20_000]] = self.model.words(words[start : start + 20_000])
+        return self.value[numbers]
+
+    def best_pairs(self, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The highest value of a pair of neighbouring words of each text, or ``NOTHING`` where that is more.
+
+        Each distinct pair is valued once, and only if it may be the highest one of a text: the pair with the
+        largest upper bound comes first, and pairs whose bound is not over its value need none.
+        """
+        best = np.full(len(sizes), NOTHING)
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        inside = np.flatnonzero(text[:-1] == text[1:])  # no pair goes from one text to the next
+        if not len(inside):
+            return best
+        self._grow()
+        text = text[inside]
+        distinct, which = np.unique(flat[inside] << 32 | flat[inside + 1], return_inverse=True)
+        left, right = distinct >> 32, distinct & 0xFFFFFFFF
+        used, numbers = np.unique(np.concatenate([left, right]), return_inverse=True)
+        words = self._words(used)
+        length = np.array([len(w) for w in words], dtype=np.int64)
+        near, far = numbers[: len(left)], numbers[len(left) :]
+        short = np.flatnonzero(length[near] + length[far] <= WIDTH)
+        values, most = np.full(len(distinct), -np.inf), np.full(len(distinct), -np.inf)
+        long = np.flatnonzero(length[near] + length[far] > WIDTH)
+        if len(long):
+            values[long] = self.sides.model.words([words[a] + words[b] for a, b in zip(near[long].tolist(), far[long].tolist())])
+        asked = np.zeros(len(used), bool)
+        asked[near[short]] = asked[far[short]] = True
+        new = np.flatnonzero(asked & (self.place[used] < 0))
+        self.place[used[new]] = np.arange(self.sides.count, self.sides.count + len(new))
+        self.sides.add([words[i] for i in new.tolist()])
+        near, far = self.place[left], self.place[right]
+
+        def settle(pairs: np.ndarray) -> None:
+            for low in range(0, len(pairs), PAIRS_AT_ONCE):
+                part = pairs[low : low + PAIRS_AT_ONCE]
+                values[part] = self.sides.values(near[part], far[part])
+                most[part] = -np.inf
+
+        for low in range(0, len(short), PAIRS_AT_ONCE):
+            part = short[low : low + PAIRS_AT_ONCE]
+            most[part] = self.sides.most(near[part], far[part])
+        top, bound = np.full(len(sizes), -np.inf), most[which]
+        np.maximum.at(top, text, bound)
+        settle(np.unique(which[(bound == top[text]) & (bound > NOTHING)]))
+        np.maximum.at(best, text, values[which])
+        settle(np.unique(which[most[which] > best[text]]))
+        np.maximum.at(best, text, values[which])
+        return best
+
+
 def word_values(model: ToxicModel):
     """Function from texts to their two highest word values and the highest one of a pair of neighbours.
 
-    Remembers words, forgets all when too many; pairs of neighbours are valued once per batch.
+    Remembers words, forgets all when too many.
     """
-    known: dict[str, float] = {}
+    known, forms = KnownWords(model), _Numbers()  # forms: as they stand in a text, each with up to two words
+    first, second = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def run(texts: list[str | None]) -> list[tuple[float, float, float]]:
-        both = [split_words(t) for t in texts]
-        sets = [w for w, _ in both]
-        new = list(set().union(*sets).difference(known))
-        if len(known) + len(new) > MAX_WORDS:
-            known.clear()
-            new = list(set().union(*sets))
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            known.update(zip(part, model.words(part).tolist()))
-        out = []
-        for s, pair in zip(sets, _best_pairs(model.pairs or model, [t for _, t in both])):
-            best = sorted(map(known.__getitem__, s))[-2:] if s else []
-            out.append((max(best[-1], NOTHING) if best else NOTHING, max(best[0], NOTHING) if len(best) > 1 else NOTHING, max(pair, NOTHING)))
-        return out
+        nonlocal known, forms, first, second
+        if len(forms) > MAX_WORDS or known.sides.count > MAX_SIDES:
+            known, forms, first, second = KnownWords(model), _Numbers(), first[:0], second[:0]
+        number, before = known.numbers.__getitem__, len(forms)
+        low = [t.lower() if t else "" for t in texts]
+        parts = [t.split() for t in low]
+        sizes = np.array([len(p) for p in parts], dtype=np.int64)
+        flat = np.fromiter(map(forms.__getitem__, chain.from_iterable(parts)), np.int64, int(sizes.sum()))
+        new = [word_forms(w) for w in islice(forms, before, None)]
+        first = np.concatenate([first, np.array([number(w) if w else -1 for w, _ in new], dtype=np.int64)])
+        second = np.concatenate([second, np.array([number(w) if w else -1 for _, w in new], dtype=np.int64)])
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        tokens, bare = first[flat], second[flat]
+        singles = [(i, number(w)) for i, t in enumerate(low) for m in SINGLES.findall(t) if (w := _bare(m))]
+        spelled = np.array(singles, dtype=np.int64).reshape(-1, 2)
+        text = np.concatenate([owner[tokens >= 0], owner[bare >= 0], spelled[:, 0]])
+        word = np.concatenate([tokens[tokens >= 0], bare[bare >= 0], spelled[:, 1]])
+        value = known.values(word)
+        one, two = np.full(len(texts), NOTHING), np.full(len(texts), NOTHING)
+        np.maximum.at(one, text, value)
+        at = np.flatnonzero(value == one[text])
+        winner = np.full(len(texts), -1)
+        winner[text[at]] = word[at]
+        rest = np.flatnonzero(word != winner[text])
+        np.maximum.at(two, text[rest], value[rest])
+        pair = known.best_pairs(tokens[tokens >= 0], np.bincount(owner[tokens >= 0], minlength=len(texts)))
+        return list(zip(one.tolist(), two.tolist(), pair.tolist()))
 
     return run
 
 
 def _best_pairs(model: ToxicModel, texts: list[list[str]]) -> list[float]:
-    """The highest value of a pair of neighbouring words of each text; each distinct pair is valued once."""
-    ids: dict[str, int] = {}
+    """The highest value of a pair of neighbouring words of each text."""
+    known = KnownWords(model)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    flat = np.fromiter((ids.setdefault(w, len(ids)) for t in texts for w in t), np.int64, int(sizes.sum()))
-    best = np.full(len(texts), NOTHING)
-    ends = np.cumsum(sizes)
-    first = np.ones(len(flat), bool)
-    first[ends[:-1][ends[:-1] < len(flat)]] = False  # no pair goes from one text to the next
-    keys = (flat[:-1] << 32 | flat[1:])[first[1:]]
-    if len(keys):
-        distinct, which = np.unique(keys, return_inverse=True)
-        values = np.empty(len(distinct))
-        words = list(ids)
-        for low in range(0, len(distinct), PAIRS_AT_ONCE):
-            part = distinct[low : low + PAIRS_AT_ONCE]
-            values[low : low + PAIRS_AT_ONCE] = model.joined(words, part >> 32, part & 0xFFFFFFFF)
-        pairs = np.maximum(sizes - 1, 0)
-        have = np.flatnonzero(pairs)
-        best[have] = np.maximum.reduceat(values[which], (np.cumsum(pairs) - pairs)[have])
-    return best.tolist()
+    flat = np.fromiter(map(known.numbers.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
+    return known.best_pairs(flat, sizes).tolist()
 
 
 def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic", per_label: int = SAMPLE_TEXTS, prior: dict | None = None) -> ToxicModel:
