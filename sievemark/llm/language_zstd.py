@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from itertools import islice
 
 import xxhash
 from pyspark.sql import DataFrame
@@ -73,11 +74,26 @@ class ZstdLanguages:
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score from 0 to 1, relative margin."""
-        if not text or not self.names or not LETTER.search(text):
-            return UNKNOWN, 0.0, 0.0
-        data = plain(text)
-        blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
-        sizes = [sum([len(size(b)) for b in blocks]) for size in self.sizers]
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+        """:meth:`predict` of many texts, one dictionary after the other, whose tables then stay in the cache."""
+        known = [i for i, t in enumerate(texts) if t and self.names and LETTER.search(t)]
+        blocks, counts = [], []
+        for i in known:
+            data = plain(texts[i])
+            blocks += [data[k : k + BLOCK] for k in range(0, len(data), BLOCK)]
+            counts.append(-(-len(data) // BLOCK))
+        totals = []
+        for size in self.sizers:
+            sizes = iter([len(size(b)) for b in blocks])
+            totals.append([sum(islice(sizes, n)) for n in counts])
+        out = [(UNKNOWN, 0.0, 0.0)] * len(texts)
+        for i, sizes in zip(known, zip(*totals)):
+            out[i] = self._decided(sizes)
+        return out
+
+    def _decided(self, sizes: tuple[int, ...]) -> tuple[str, float, float]:
         best = min(range(len(sizes)), key=sizes.__getitem__)
         if len(sizes) == 1:
             return self.names[0], 1.0, 1.0
@@ -94,7 +110,7 @@ def predict_language(df: DataFrame, dictionaries: dict[str, bytes], text: str =
         model = ZstdLanguages(shared.value)
 
         def run(texts):
-            names, scores, margins = zip(*[model.predict(t) for t in texts]) if texts else ((), (), ())
+            names, scores, margins = zip(*model.predict_all(texts)) if texts else ((), (), ())
             return [list(names), list(scores), list(margins), [m < MIN_MARGIN for m in margins]]
 
         return run
