@@ -1,10 +1,11 @@
-"""Work that is saved without another result: words and pairs of op10, dictionaries of op7, workers of op2."""
+"""Work that is saved without another result: words and pairs of op10, dictionaries of op7, workers and sets of op2."""
 
 import random
 import re
 
 import numpy as np
-from sievemark.llm import language_zstd, ngram_join, toxicity_kernel
+import pyarrow as pa
+from sievemark.llm import language_zstd, ngram_join, shingles, toxicity_kernel
 from sievemark.llm.toxicity_kernel import NOTHING, ToxicModel
 
 
@@ -99,3 +100,44 @@ def test_no_task_of_the_ngram_join_has_two_python_workers(spark, monkeypatch):
             last = max((i for i, name in enumerate(stage) if name.endswith("Exchange")), default=-1)
             assert m.group() != "MapInArrow" or "MapInArrow" not in stage[last + 1 :], plan
             above.append((m.start(), m.group()))
+
+
+def test_shingle_sets_of_many_texts_at_once():
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abCDé日0\0. ") for _ in range(r.choice((1, 2, 5, 7, 8, 9, 16, 17, 63, 64, 65, 130))))
+    words = [word() for _ in range(60)]
+    rows = [None, "", " \t\n\v\f\r ", "one", "One TWO", "one two\x1cthree", "a b c d", "a b c d e", "a b c d e a b c d e a b c d e"]
+    rows += ["".join(w + r.choice((" ", "\n", "\t ", "\v\f\r")) for w in r.choices(words, k=r.randrange(30)))[r.randrange(2) :] for _ in range(300)]
+    rows += ["x", "y", None]
+    for texts in (pa.array(rows), pa.array(rows, pa.large_string()), pa.array(rows).slice(5, 100), pa.array(rows[:1], pa.string()), pa.array([], pa.string())):
+        h, at = shingles.contract_words(texts)
+        s, starts = shingles.shingle_sets(h, at)
+        assert len(at) == len(starts) == len(texts) + 1 and at[-1] == len(h) and starts[-1] == len(s)
+        names: dict = {}
+        for k, text in enumerate(texts.to_pylist()):
+            plain = re.findall(rb"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or "").encode())
+            n = min(5, len(plain))
+            runs = [tuple(plain[i : i + n]) for i in range(len(plain) - n + 1)] if n else []
+            found = s[starts[k] : starts[k + 1]]
+            assert at[k + 1] - at[k] == len(plain) and len(found) == len(set(runs)) and (found[1:] > found[:-1]).all()
+            for w, x in [*zip(plain, h[at[k] : at[k + 1]].tolist()), (frozenset(runs), found.tobytes())]:
+                assert names.setdefault(w, x) == x and names.setdefault((x,), w) == w  # one hash per word, one set per set
+
+
+def test_points_and_routes_of_many_sets_at_once(spark):
+    r = np.random.default_rng(9)
+    sets = [np.unique(r.integers(0, 2**64, n, dtype=np.uint64)) for n in (0, 3, 0, 900, 1, 0)]
+    at = np.cumsum([0] + [len(s) for s in sets])
+    flat = np.concatenate(sets)
+    assert (ngram_join.count_vectors(flat, at, 64) == [ngram_join.count_vector(s, 64) for s in sets]).all()
+    data, starts = ngram_join.numbers(ngram_join.binaries(flat, at).slice(1, 4), np.uint64)
+    assert (data == flat[at[1] : at[5]]).all() and (starts == at[1:6] - at[1]).all()
+    rows = [(i, " ".join(str(x) for x in r.integers(0, 40, n))) for i, n in enumerate((0, 1, 3, 5, 6, 9, 10, 11, 40, 300))]
+    texts = spark.createDataFrame(rows, "id long, text string")
+    plain = {i: shingles.shingle_sets(*shingles.contract_words(pa.array([t])))[0].view(np.int64).tolist() for i, t in rows}
+    often = [x for s in plain.values() for x in s[::3]]
+    for late in (often, []):
+        for x in ngram_join._routes(texts, "id", "text", late).collect():
+            s = sorted(plain[x.id], key=lambda v: (v in set(late), v % 2**64))
+            assert x.n == len(s) and sorted(x.routes) == sorted(s[: len(s) - -(-80 * len(s) // 100) + 1] if s else [])
+            assert (np.frombuffer(x.vec, np.uint16) == ngram_join.count_vector(np.array(s, np.int64).view(np.uint64))).all()
