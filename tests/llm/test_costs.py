@@ -141,3 +141,15 @@ def test_points_and_routes_of_many_sets_at_once(spark):
             s = sorted(plain[x.id], key=lambda v: (v in set(late), v % 2**64))
             assert x.n == len(s) and sorted(x.routes) == sorted(s[: len(s) - -(-80 * len(s) // 100) + 1] if s else [])
             assert (np.frombuffer(x.vec, np.uint16) == ngram_join.count_vector(np.array(s, np.int64).view(np.uint64))).all()
+
+
+def test_long_texts_that_share_a_passage_are_no_candidates(spark):
+    r = random.Random(10)
+    words = lambda n: [str(r.randrange(10**8)) for _ in range(n)]
+    passages = [words(40) for _ in range(13)]
+    own = [words(3000) for _ in range(12)]
+    rows = [(i, " ".join([*w, *passages[i], *passages[i + 1]])) for i, w in enumerate(own)]
+    rows.append((50, " ".join([*own[4][:2900], *words(60), *passages[4], *passages[5]])))
+    texts = spark.createDataFrame(rows, "id long, text string")
+    found = ngram_join._candidate_forest(ngram_join._routes(texts, "id", "text", [])).collect()
+    assert [tuple(x) for x in found] == [(4, 50)]

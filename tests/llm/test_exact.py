@@ -331,6 +331,24 @@ def test_join_equals_all_pairs(spark, monkeypatch, team, block, cell):
     assert sorted(tuple(r) for r in ngram_join.similar_documents(df).collect()) == joined(rows)
 
 
+def test_join_of_long_texts_equals_all_pairs(spark):
+    r = random.Random(12)
+    word = lambda: str(r.randrange(10**6))
+    passage, rows = [word() for _ in range(150)], []
+    for copies in (1, 2, 3, 4, 14):
+        base = [word() for _ in range(r.choice((600, 900, 1400)))] + passage
+        for _ in range(copies):
+            text = list(base)
+            for _ in range(len(text) // 100 + r.randrange(len(text) // 80)):  # pairs of about the similarity that is needed
+                text[r.randrange(len(text))] = word()
+            rows.append(" ".join(text))
+    r.shuffle(rows)
+    rows = list(enumerate(rows, 1))
+    want = joined(rows)
+    assert len(rows) > len({x[2] for x in want}) > 5
+    assert sorted(tuple(x) for x in ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == want
+
+
 def test_join_of_repeated_and_odd_rows(spark):
     rows = [(3, "a b c d e f"), (3, "a b c d e f"), (5, "A b c d e f"), (None, "a b c d e f"), (7, None)]
     got = ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
