@@ -18,9 +18,9 @@ import math
 import re
 from collections import Counter, deque
 from collections.abc import Iterable
-from hashlib import sha256
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.llm.common import append_columns
@@ -115,6 +115,19 @@ class FormatAutomaton:
         self.log_rare = [math.log(1 / (t + 1)) for t in total]
         self.log_any = {c: math.log(p) for c, p in share.items()}
         self.log_end = [math.log((e + len(strings) / (every + len(strings) + 1)) / (t + 1)) if e or strings else self.FLOOR for e, t in zip(self.ends, total)]
+        self._leave_tree()
+
+    def _leave_tree(self) -> None:
+        """Keeps the states that scoring can reach; the rest of the prefix tree would go to every task."""
+        place, todo = {0: 0}, [0]
+        for node in todo:
+            for to in self.next[node].values():
+                if to not in place:
+                    place[to] = len(todo)
+                    todo.append(to)
+        self.next = [{c: place[to] for c, to in self.next[node].items()} for node in todo]
+        self.log_hit, self.log_rare, self.log_end = ([v[node] for node in todo] for v in (self.log_hit, self.log_rare, self.log_end))
+        del self.hits, self.ends
 
     def _total(self, node: int) -> int:
         return sum(self.hits[node].values()) + self.ends[node]
@@ -283,26 +296,34 @@ def _found(text: str | None) -> list[tuple[str, int, int, str]]:
     return sorted(base + candidates(text, base), key=lambda s: (s[1], (*KINDS, LEARNED, "word", REST).index(s[0])))
 
 
-def find_runs(df: DataFrame, text: str = "text", runs: str = "runs") -> DataFrame:
-    """The rows with all base spans and candidates of their whole texts."""
-    return append_columns(df, [text], f"`{runs}` array<{SPAN}>", lambda: lambda texts: [[_found(t) for t in texts]])
+def find_runs(df: DataFrame, text: str = "text", runs: str = "runs", drop: bool = False) -> DataFrame:
+    """The rows with all base spans and candidates of their whole texts; with ``drop`` without the texts."""
+    return append_columns(df, [text], f"`{runs}` array<{SPAN}>", lambda: lambda texts: [[_found(t) for t in texts]], drop)
 
 
 def fit_formats(found: DataFrame, runs: str = "runs", sample: int = SAMPLE) -> FormatModel:
     """Learns the automata from distinct values of each kind, at most ``sample``, chosen by hash."""
-    each = found.select(F.explode(runs).alias("r")).select("r.kind", "r.value")
+    # Runs without a digit are ordinary; the others are not labelled, the model takes likely credentials out.
+    ordinary = ("word", LEARNED)
+    each = found.select(F.explode(runs).alias("r")).select("r.kind", "r.value").filter(F.col("kind").isin(*KINDS, *ordinary))
+    # Stored, so that all rows are read and their values made distinct once, not for every kind.
+    each = each.distinct().persist(StorageLevel.DISK_ONLY)
 
-    def values(*kinds: str, most: int = sample) -> list[str]:
-        mine = each.filter(F.col("kind").isin(*kinds)).select("value").distinct()
-        return [r[0] for r in mine.orderBy(F.xxhash64("value"), "value").limit(most).collect()]
+    def values(kind: str) -> list[str]:
+        mine = each.filter(F.col("kind") == kind).select("value")
+        return [r[0] for r in mine.orderBy(F.xxhash64("value"), "value").limit(sample).collect()]
 
-    # Runs without a digit are ordinary; the others are not labelled, the model takes likely credentials out.
-    return FormatModel({k: values(k) for k in KINDS}, {k: values(k) for k in ("word", LEARNED)})
+    try:
+        labelled, plain = {k: values(k) for k in KINDS}, {k: values(k) for k in ordinary}
+    finally:
+        each.unpersist()
+    return FormatModel(labelled, plain)
 
 
-def score_runs(found: DataFrame, model: FormatModel, runs: str = "runs", secrets: str = "secrets") -> DataFrame:
-    """Keeps base spans and those candidates, words and rests too, that look like a learned format."""
-    return append_columns(found, [runs], f"`{secrets}` array<{SPAN}>", lambda: lambda rows: [[model.spans(_tuples(r)) for r in rows]])
+def score_runs(found: DataFrame, model: FormatModel, runs: str = "runs", secrets: str = "secrets", drop: bool = False) -> DataFrame:
+    """Keeps base spans and those candidates, words and rests too, that look like a learned format; with ``drop``
+    without all others."""
+    return append_columns(found, [runs], f"`{secrets}` array<{SPAN}>", lambda: lambda rows: [[model.spans(_tuples(r)) for r in rows]], drop)
 
 
 def _tuples(spans: list[dict] | None) -> list[tuple]:
@@ -311,32 +332,25 @@ def _tuples(spans: list[dict] | None) -> list[tuple]:
 
 def secret_digests(df: DataFrame, text: str = "text") -> DataFrame:
     """Per row: counts of base spans, their digest, and all spans as text. Texts are read once."""
-    narrow = cut_lineage(find_runs(df, text).drop(text))
-    model = fit_formats(narrow)
-    scored = score_runs(narrow, model)
+    narrow = cut_lineage(find_runs(df, text, drop=True))
+    scored = score_runs(narrow, fit_formats(narrow), drop=True)
 
-    def make():
-        def run(rows):
-            out = [[], [], [], [], []]
-            for r in rows:
-                spans = _tuples(r)
-                named = [f"{k}:{s}:{e}" for k, s, e, _ in spans]
-                for i, kind in enumerate(KINDS):
-                    out[i].append(sum(s[0] == kind for s in spans))
-                base = [n for n, s in zip(named, spans) if s[0] in KINDS]
-                out[3].append(sha256(",".join(base).encode()).hexdigest())
-                out[4].append(",".join(named))
-            return out
+    def named(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-        return run
+    def those(*kinds: str) -> Column:
+        return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
 
-    added = "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
-    return append_columns(scored, ["secrets"], added, make).drop("runs", "secrets")
+    # Spark works these out: a second Python function would be a second worker for every task.
+    added = {f"n_{k}": F.size(those(k)).cast("bigint") for k in KINDS}
+    added |= {"base_sha256": F.sha2(named(those(*KINDS)), 256), "spans": named(F.col("secrets"))}
+    kept = [F.col(f"`{c}`") for c in scored.columns if c.lower() not in (*added, "secrets")]
+    return scored.select(*kept, *[c.alias(n) for n, c in added.items()])
 
 
 def redact(df: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
     """The rows with every secret of their texts replaced by ``mark``; of overlapping spans the union goes."""
-    model = fit_formats(cut_lineage(find_runs(df.select(text), text).drop(text)))
+    model = fit_formats(find_runs(df.select(text), text, drop=True))
 
     def clean(t: str | None) -> str | None:
         if not t:

@@ -1,6 +1,7 @@
 """Secrets, language, quality and toxicity: brute force, held-out accuracy and odd rows."""
 
 import hashlib
+import pickle
 import random
 import re
 
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievemark.llm import language_zstd, quality_ordinal, queries, secret_grammar, toxicity_kernel
+from sievemark.session import plan_nodes
 
 SMALL = "/root/testdata/sf0.001"
 ODD = [(1, None, "x"), (2, "", "x"), (3, "a b", None), (3, "a b", None), (None, "c " * 5000, "x"), (4, "12 34 !?", "y")]
@@ -105,6 +107,24 @@ def test_secrets_of_odd_rows(spark, odd):
     assert [r.text for r in secret_grammar.redact(one).orderBy("doc_id").collect()] == ["x [secret] and [secret] end", None, "fine"]
 
 
+def test_what_tasks_hold_of_a_format_does_not_grow_with_the_sample(spark):
+    """States that are merged away stay behind, texts are not sent back, each task has one Python function."""
+    r = random.Random(6)
+    model = lambda n: secret_grammar.FormatModel({"assign": ["".join(r.choice("0123456789abcdef") for _ in range(n)) for _ in range(100)]}, {"word": ["ab" * 20] * 5})
+    short, long = model(40), model(400)
+    assert len(pickle.dumps(long)) < 1.5 * len(pickle.dumps(short)) < 100_000
+    automaton = long.kinds["assign"]
+    assert len(automaton.next) == len(automaton.log_hit) == len(automaton.log_end) < 100
+    assert all(to < len(automaton.next) for edges in automaton.next for to in edges.values())
+    df = spark.createDataFrame([(1, "token = abcdef", "x"), (2, None, "y")], "doc_id long, text string, lang string")
+    assert secret_grammar.find_runs(df, drop=True).columns == ["doc_id", "lang", "runs"]
+    out = secret_grammar.secret_digests(df)
+    assert plan_nodes(out).count("MapInArrow") == 1
+    assert out.columns == ["doc_id", "lang", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    none = hashlib.sha256(b"").hexdigest()
+    assert sorted(tuple(x) for x in out.collect()) == [(1, "x", 1, 0, 0, hashlib.sha256(b"assign:0:14").hexdigest(), "assign:0:14"), (2, "y", 0, 0, 0, none, "")]
+
+
 def test_language_is_right_on_held_out_texts(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.QUERIES["op7_language_zstd"](spark, sf)
